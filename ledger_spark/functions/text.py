@@ -42,8 +42,6 @@ def clean_description_simple(raw: Column) -> Column:
 
 def substrings(text: Column, size: int) -> Column:
     """All distinct substrings of ``text`` with exactly ``size`` characters, as an array."""
-    if size == 0:
-        return F.when(text.isNotNull(), F.array(F.lit("")))
     starts = F.sequence(F.lit(1), F.length(text) - F.lit(size - 1))
     grams = F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size))))
     return F.when(F.length(text) >= size, grams)

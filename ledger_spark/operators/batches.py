@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PATTERN_PREFIX_LENGTH, has_text, is_unlabelled
+from ..sources.staging import Staging
 from .recurring import latest_examples
 from .update import broadcast_limited, key_condition
 
@@ -56,13 +57,18 @@ def top_pattern_groups(transactions: DataFrame, batch_size: int | None = GROUP_B
 
 
 def _with_examples(groups: DataFrame, rows: DataFrame, key: tuple[str, ...], order: list[Column], fields: list[str],
-                   limit: int, batch_size: int | None) -> DataFrame:
-    """Attach examples. Groups match rows on all keys, the persona null-safely; other NULLs match nothing."""
+                   limit: int, batch_size: int | None, staging: Staging | None) -> DataFrame:
+    """Attach examples. Groups match rows on all keys, the persona null-safely; other NULLs match nothing.
+
+    A limited set of groups is used twice, to pick rows and to attach counts; with
+    ``staging`` it is computed once.
+    """
     candidates = rows.filter(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in key if k != "persona_type")))
     group_key = {k: F.col(f"g_{k}") for k in key}
     row_key = {k: F.col(k) for k in key}
     keyed = groups.select(*[F.col(k).alias(f"g_{k}") for k in key], "uncategorized_count")
     if batch_size is not None:
+        keyed = staging.table(keyed, "top-groups") if staging is not None else keyed
         keyed = broadcast_limited(keyed, batch_size)
         candidates = candidates.join(
             keyed.drop("uncategorized_count"), key_condition(row_key, group_key, ("persona_type",)), "left_semi"
@@ -73,7 +79,8 @@ def _with_examples(groups: DataFrame, rows: DataFrame, key: tuple[str, ...], ord
     )
 
 
-def merchant_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH) -> DataFrame:
+def merchant_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH,
+                   staging: Staging | None = None) -> DataFrame:
     """Top merchant groups with their three latest unlabelled rows. ``None`` gives all groups."""
     return _with_examples(
         top_merchant_groups(transactions, batch_size),
@@ -83,10 +90,12 @@ def merchant_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH
         ["description_cleaned", "amount", "channel", "is_recurring"],
         MERCHANT_EXAMPLES,
         batch_size,
+        staging,
     )
 
 
-def pattern_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH) -> DataFrame:
+def pattern_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH,
+                  staging: Staging | None = None) -> DataFrame:
     """Top pattern groups with two unlabelled rows, by transaction id. ``None`` gives all groups."""
     return _with_examples(
         top_pattern_groups(transactions, batch_size),
@@ -96,6 +105,7 @@ def pattern_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH)
         ["description_cleaned", "merchant_name_cleaned", "amount", "is_recurring"],
         PATTERN_EXAMPLES,
         batch_size,
+        staging,
     )
 
 

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_description, clean_merchant
 
 
+def needs_cleansing() -> Column:
+    return F.col("description_cleaned").isNull() | F.col("merchant_name_cleaned").isNull()
+
+
 def cleanse_transactions(transactions: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Rewrite both cleaned columns of every row where either is NULL.
 
     A row whose merchant cannot be extracted keeps NULL and is visited again by the
     next run; its values do not change.
     """
-    due = F.col("description_cleaned").isNull() | F.col("merchant_name_cleaned").isNull()
+    due = needs_cleansing()
     if observation is not None:
         transactions = transactions.observe(observation, F.count_if(due).alias("affected"))
     return transactions.withColumns(

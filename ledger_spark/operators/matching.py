@@ -9,6 +9,8 @@ contains) are brought to one equi-join on a *probe*:
   substring too, so probing with all substrings of a description finds every
   pattern, and ``contains`` then removes false candidates.
 
+A probe carries its kind as a prefix, so the join has two keys: probe and direction.
+
 Transactions come in as distinct match keys, so a text that occurs in a third of
 all rows is probed once.
 """
@@ -27,6 +29,8 @@ from .update import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 GRAM = 4
 ANY_TYPE = "All"
 MATCH_KEY = ("merchant_name_cleaned", "description_cleaned", "persona_type", "transaction_type")
+# A row without a direction matches nothing; the other parts of its key may be NULL.
+NULLABLE_KEY = MATCH_KEY[:3]
 
 _RULE_COLUMNS = (
     "rule_id", "rule_type", "identifier", "transaction_type", "persona_type", "category_l1", "category_l2",
@@ -47,6 +51,10 @@ class RuleIndex:
         return F.broadcast(self.rules) if self.fits_broadcast else self.rules
 
 
+def _tagged(kind: Column, text: Column) -> Column:
+    return F.concat(kind, F.lit(":"), text)
+
+
 def _rarest_grams(patterns: DataFrame) -> DataFrame:
     """One probe per pattern: the substring shared with the fewest other patterns."""
     identifier = F.col("r_identifier")
@@ -99,28 +107,49 @@ def index_rules(rules: DataFrame, rule_types: tuple[str, ...] = ("merchant", "pa
             (F.col("r_rule_type") == "pattern") & (F.col("r_identifier") == F.col("pattern")),
             "left",
         )
-        probe = F.when(F.col("r_rule_type") == "pattern", F.col("pattern_gram")).otherwise(F.col("r_identifier"))
+        gram = F.col("pattern_gram")
+        pattern_probe = _tagged(F.concat(F.lit("pattern"), F.length(gram).cast("string")), gram)
+        identifier_probe = _tagged(F.col("r_rule_type"), F.col("r_identifier"))
+        probe = F.when(F.col("r_rule_type") == "pattern", pattern_probe).otherwise(identifier_probe)
         probed = probed.withColumn("r_probe", probe).drop("pattern", "pattern_gram")
     else:
-        probed = usable.withColumn("r_probe", F.col("r_identifier"))
+        probed = usable.withColumn("r_probe", _tagged(F.col("r_rule_type"), F.col("r_identifier")))
     small = size["n"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
     return RuleIndex(probed, gram_sizes, small, rule_types)
 
 
-def _probes(index: RuleIndex) -> Column:
-    """Array of (kind, text) to look up for one match key."""
-    def tagged(kind: str, texts: Column) -> Column:
-        pairs = F.transform(texts, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("text")))
-        return F.coalesce(pairs, F.array().cast("array<struct<kind:string,text:string>>"))
+def _with_probes(keys: DataFrame, index: RuleIndex) -> DataFrame:
+    """One row per match key and probe.
 
-    parts = []
+    Position 0 carries the whole texts, position i the substrings that start at the
+    i-th character. A substring that occurs earlier in the description is skipped, so
+    each probe appears once. Only built-in functions with generated code are used.
+    """
+    merchant, description = F.col("merchant_name_cleaned"), F.col("description_cleaned")
+    position = F.col("probe_position")
+    whole = []
     if "merchant" in index.rule_types:
-        parts.append(tagged("merchant", F.array("merchant_name_cleaned")))
+        whole.append(_tagged(F.lit("merchant"), merchant))
     if "transaction" in index.rule_types:
-        parts.append(tagged("transaction", F.array("description_cleaned")))
-    if "pattern" in index.rule_types:
-        parts.extend(tagged("pattern", substrings(F.col("description_cleaned"), n)) for n in index.gram_sizes)
-    return F.concat(*parts)
+        whole.append(_tagged(F.lit("transaction"), description))
+    if 0 in index.gram_sizes:
+        whole.append(F.when(description.isNotNull(), F.lit("pattern0:")))
+    sizes = [n for n in index.gram_sizes if n > 0]
+    if not sizes:
+        return keys.withColumn("probe", F.explode(F.array(*whole)))
+    parts = []
+    for n in sizes:
+        gram = F.substring(description, position, F.lit(n))
+        fits = position <= F.length(description) - F.lit(n - 1)
+        parts.append(
+            F.when(fits & (F.instr(description, gram) == position), _tagged(F.lit(f"pattern{n}"), gram))
+        )
+    last = F.coalesce(F.length(description), F.lit(0))
+    return (
+        keys.withColumn("probe_position", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("probe", F.explode(F.when(position == 0, F.array(*whole)).otherwise(F.array(*parts))))
+        .drop("probe_position")
+    )
 
 
 def match_keys(keys: DataFrame, index: RuleIndex, *, persona: bool = True, all_matches_any: bool = False) -> DataFrame:
@@ -131,15 +160,13 @@ def match_keys(keys: DataFrame, index: RuleIndex, *, persona: bool = True, all_m
     fire only with ``all_matches_any``.
     """
     direction = F.col("transaction_type")
-    probed = keys.withColumn("probe", F.explode(_probes(index)))
+    probed = _with_probes(keys, index)
     if all_matches_any:
         probed = probed.withColumn("probe_type", F.explode(F.array(direction, F.lit(ANY_TYPE))))
     else:
         probed = probed.withColumn("probe_type", direction)
-    probed = probed.withColumns({"probe_kind": F.col("probe.kind"), "probe_text": F.col("probe.text")}).drop("probe")
     applies = (
-        (F.col("probe_text") == F.col("r_probe"))
-        & (F.col("probe_kind") == F.col("r_rule_type"))
+        (F.col("probe") == F.col("r_probe"))
         & (F.col("probe_type") == F.col("r_transaction_type"))
         & (
             (F.col("r_rule_type") != "pattern")
@@ -150,7 +177,7 @@ def match_keys(keys: DataFrame, index: RuleIndex, *, persona: bool = True, all_m
         applies = applies & (
             F.col("r_persona_type").isNull() | (F.col("r_persona_type") == F.col("persona_type"))
         )
-    return probed.join(index.for_join(), applies).drop("probe_kind", "probe_text", "probe_type")
+    return probed.join(index.for_join(), applies).drop("probe", "probe_type")
 
 
 def match_rank() -> list[Column]:
@@ -161,4 +188,4 @@ def match_rank() -> list[Column]:
     ]
 
 
-__all__ = ["MATCH_KEY", "RuleIndex", "index_rules", "match_keys", "match_rank"]
+__all__ = ["MATCH_KEY", "NULLABLE_KEY", "RuleIndex", "index_rules", "match_keys", "match_rank"]

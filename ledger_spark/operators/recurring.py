@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schema import METHOD_HARMONIZED, METHOD_RECURRING, has_text, is_unlabelled
-from .update import broadcast_limited, keyed_update, new
+from ..sources.staging import Staging
+from .update import broadcast_limited, fits_broadcast, keyed_update, new
 
 MERCHANT_KEY = ("merchant_name_cleaned", "transaction_type")
 # Words that hint at a subscription, rows a candidate needs, default batch.
@@ -111,12 +112,14 @@ def latest_examples(rows: DataFrame, key: tuple[str, ...], order: list[Column],
     )
 
 
-def recurring_candidates(transactions: DataFrame, batch_size: int | None = CANDIDATE_BATCH) -> DataFrame:
+def recurring_candidates(transactions: DataFrame, batch_size: int | None = CANDIDATE_BATCH,
+                         staging: Staging | None = None) -> DataFrame:
     """Merchants that may be recurring, with the evidence to decide on.
 
     Evidence: row count, gap histogram, keyword flag, sample deviation and mean of the
     absolute amount, two latest rows. Keyword merchants first, then the most frequent.
-    ``batch_size=None`` returns all candidates.
+    ``batch_size=None`` returns all candidates. With ``staging`` a limited set of groups
+    is computed once for its three uses.
     """
     rows = open_debits(transactions)
     mentions = F.lower(F.coalesce("description_cleaned", F.lit(""))).rlike(RECURRING_WORDS)
@@ -133,7 +136,9 @@ def recurring_candidates(transactions: DataFrame, batch_size: int | None = CANDI
     ranking = [F.desc("has_recurring_keywords"), F.desc("transaction_count"), *[F.asc(c) for c in MERCHANT_KEY]]
     evidence_rows = transactions
     if batch_size is not None:
-        groups = broadcast_limited(groups.orderBy(*ranking).limit(batch_size), batch_size)
+        groups = groups.orderBy(*ranking).limit(batch_size)
+        groups = staging.table(groups, "candidate-groups") if staging is not None else groups
+        groups = broadcast_limited(groups, batch_size)
         evidence_rows = transactions.join(groups.select(*MERCHANT_KEY), [*MERCHANT_KEY], "left_semi")
     examples = latest_examples(
         open_debits(evidence_rows),
@@ -183,15 +188,22 @@ def trusted_recurring_labels(transactions: DataFrame) -> DataFrame:
     )
 
 
-def harmonize_recurring(transactions: DataFrame, as_of: Column, observation: Observation | None = None) -> DataFrame:
-    """Give unlabelled recurring rows the trusted label of their merchant and direction."""
+def harmonize_recurring(transactions: DataFrame, as_of: Column, *, trusted: DataFrame | None = None,
+                        observation: Observation | None = None) -> DataFrame:
+    """Give unlabelled recurring rows the trusted label of their merchant and direction.
+
+    ``trusted`` takes labels that were computed and written before; they are broadcast
+    if they are few.
+    """
+    small = trusted is not None and fits_broadcast(trusted)
+    trusted = trusted_recurring_labels(transactions) if trusted is None else trusted
     return keyed_update(
         transactions,
-        trusted_recurring_labels(transactions),
+        trusted,
         on=MERCHANT_KEY,
         rows=F.col("is_recurring") & is_unlabelled(),
         on_duplicate="unique",
-        small_source=False,
+        small_source=small,
         observation=observation,
         assign={
             "category_l1": new("category_l1"),

@@ -9,7 +9,7 @@ from ..functions.scoring import USER_RULE_SCORE, rule_rank, stable_rule_id
 from ..functions.text import clean_description, clean_merchant
 from ..schema import METHOD_RULES_PREFIX, RULE_KEY, TAXONOMY, is_valid_category
 from ..sources.staging import Staging
-from .matching import MATCH_KEY, index_rules, match_keys, match_rank
+from .matching import MATCH_KEY, NULLABLE_KEY, index_rules, match_keys, match_rank
 from .update import fits_broadcast, key_condition, keyed_update, keyed_upsert, new
 
 USER_RULE_TYPES = ("merchant", "pattern")
@@ -28,7 +28,7 @@ def match_rules(transactions: DataFrame, rules: DataFrame, *, all_matches_any: b
         *[F.col(c).alias(f"k_{c}") for c in MATCH_KEY],
         *[F.col(c) for c in pairs.columns if c.startswith("r_") and c != "r_probe"],
     )
-    condition = key_condition({c: F.col(c) for c in MATCH_KEY}, {c: F.col(f"k_{c}") for c in MATCH_KEY}, MATCH_KEY)
+    condition = key_condition({c: F.col(c) for c in MATCH_KEY}, {c: F.col(f"k_{c}") for c in MATCH_KEY}, NULLABLE_KEY)
     return open_rows.join(renamed, condition).select(
         "transaction_id",
         F.col("r_rule_id").alias("rule_id"),
@@ -88,7 +88,7 @@ def apply_rules(
         transactions,
         winners,
         on=MATCH_KEY,
-        null_safe=MATCH_KEY,
+        null_safe=NULLABLE_KEY,
         rows=F.col("category_l1").isNull(),
         on_duplicate="unique",
         small_source=small,

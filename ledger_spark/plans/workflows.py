@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 
 from ..operators.batches import merchant_batch, pattern_batch, transaction_batch
-from ..operators.cleansing import cleanse_transactions
+from ..operators.cleansing import cleanse_transactions, needs_cleansing
 from ..operators.decisions import (
     apply_merchant_decisions,
     apply_pattern_decisions,
@@ -21,9 +22,14 @@ from ..operators.decisions import (
 )
 from ..operators.learning import learn_all_rules
 from ..operators.lifecycle import apply_fallback
-from ..operators.recurring import flag_recurring, harmonize_recurring, recurring_candidates
+from ..operators.recurring import (
+    flag_recurring,
+    harmonize_recurring,
+    recurring_candidates,
+    trusted_recurring_labels,
+)
 from ..operators.rules import apply_rules, resolve_rule_conflicts
-from ..schema import prepare_rules_schema, prepare_transactions_schema
+from ..schema import is_unlabelled, prepare_rules_schema, prepare_transactions_schema
 from ..sources.staging import Staging
 
 # Takes a work batch, gives a frame with a string column ``payload`` of JSON decisions.
@@ -42,13 +48,24 @@ class Labellers:
 
 @dataclass
 class WorkflowResult:
+    """New frames, and how many rows each step changed.
+
+    ``transactions`` is a plan over staged tables; write it where it belongs. Counts in
+    ``riding`` become known with that write.
+    """
+
     transactions: DataFrame
     rules: DataFrame | None = None
     affected: dict[str, int] = field(default_factory=dict)
+    riding: dict[str, Observation] = field(default_factory=dict)
+
+    def affected_rows(self) -> dict[str, int]:
+        """All counts; waits for the write of ``transactions``."""
+        return {**self.affected, **{name: seen.get["affected"] for name, seen in self.riding.items()}}
 
 
 class _Run:
-    """Writes each step's frame and keeps the affected-row count that rode on the write."""
+    """Writes frames between steps and keeps the affected-row counts that ride on the writes."""
 
     def __init__(self, staging: Staging):
         self.staging = staging
@@ -77,41 +94,55 @@ def run_categorization(
     batch_size: int | None = None,
     include_patterns: bool = False,
     on_duplicate: str = "error",
+    count_cleansed: bool = False,
 ) -> WorkflowResult:
     """Prepare, resolve conflicts, cleanse, apply rules, label by decisions, learn, fall back.
 
     Every labelling step is one pass over all groups; ``batch_size`` limits it to the
-    most frequent ones.
+    most frequent ones. The table is written once, after the rules; each later step
+    rewrites only the rows that are still open, and settled rows stay where they are.
+    ``count_cleansed`` spends a scan of two columns on the number of cleansed rows.
     """
     run = _Run(staging or Staging(transactions.sparkSession))
     prepared = prepare_transactions_schema(transactions)
-    rules = run.step(
-        "conflicts", lambda seen: resolve_rule_conflicts(prepare_rules_schema(rules), as_of, seen)
-    )
-    current = run.step("cleanse", lambda seen: cleanse_transactions(prepared, seen))
-    current = run.step("rules", lambda seen: apply_rules(current, rules, as_of, staging=run.staging, observation=seen))
-
-    if labellers.merchants:
-        found = run.decisions("merchants", labellers.merchants, merchant_batch(current, batch_size),
-                              validate_merchant_decisions)
-        current = run.step("merchants", lambda seen: apply_merchant_decisions(
-            current, found, as_of, on_duplicate=on_duplicate, observation=seen))
-    if labellers.patterns:
-        found = run.decisions("patterns", labellers.patterns, pattern_batch(current, batch_size),
-                              validate_pattern_decisions)
-        current = run.step("patterns", lambda seen: apply_pattern_decisions(
-            current, found, as_of, on_duplicate=on_duplicate, observation=seen))
-    if labellers.transactions:
-        found = run.decisions("transactions", labellers.transactions, transaction_batch(current, batch_size),
-                              validate_transaction_decisions)
-        current = run.step("transactions", lambda seen: apply_transaction_decisions(
-            current, found, as_of, on_duplicate=on_duplicate, observation=seen))
+    rules = run.step("conflicts", lambda seen: resolve_rule_conflicts(prepare_rules_schema(rules), as_of, seen))
+
+    if count_cleansed:
+        run.affected["cleanse"] = prepared.filter(needs_cleansing()).count()
+    cleansed = cleanse_transactions(prepared)
+    settled: list[DataFrame] = []
+    written = run.step("rules", lambda seen: apply_rules(cleansed, rules, as_of, staging=run.staging, observation=seen))
+
+    def set_aside(table: DataFrame) -> DataFrame:
+        settled.append(table.filter(~is_unlabelled()))
+        return table.filter(is_unlabelled())
+
+    open_rows = set_aside(written)
+    rounds = [
+        ("merchants", labellers.merchants, merchant_batch, validate_merchant_decisions, apply_merchant_decisions),
+        ("patterns", labellers.patterns, pattern_batch, validate_pattern_decisions, apply_pattern_decisions),
+        ("transactions", labellers.transactions, transaction_batch, validate_transaction_decisions,
+         apply_transaction_decisions),
+    ]
+    for name, labeller, batch, validate, apply in rounds:
+        if labeller is None:
+            continue
+        found = run.decisions(name, labeller, batch(open_rows, batch_size), validate)
+        open_rows = set_aside(run.step(
+            name,
+            lambda seen: apply(open_rows, found, as_of, on_duplicate=on_duplicate, observation=seen),  # noqa: B023
+        ))
+
+    def together(last: DataFrame) -> DataFrame:
+        return reduce(DataFrame.unionByName, settled, last)
 
     rules = learn_all_rules(
-        current, rules, as_of, include_patterns=include_patterns, staging=run.staging, affected=run.affected
+        together(open_rows), rules, as_of, include_patterns=include_patterns, staging=run.staging,
+        affected=run.affected,
     )
-    current = run.step("fallback", lambda seen: apply_fallback(current, as_of, seen))
-    return WorkflowResult(current, rules, run.affected)
+    falling_back = Observation()
+    labelled = together(apply_fallback(open_rows, as_of, falling_back))
+    return WorkflowResult(labelled, rules, run.affected, {"fallback": falling_back})
 
 
 def run_recurring(
@@ -122,10 +153,16 @@ def run_recurring(
     staging: Staging | None = None,
     batch_size: int | None = None,
 ) -> WorkflowResult:
-    """Find recurring merchants, flag their rows by the labeller's decisions, then harmonise labels."""
+    """Find recurring merchants, flag their rows by the labeller's decisions, then harmonise labels.
+
+    Only batches, decisions and trusted labels are written; when these are small, both
+    updates are broadcast joins over one scan.
+    """
     run = _Run(staging or Staging(transactions.sparkSession))
-    found = run.decisions("recurring", labeller, recurring_candidates(transactions, batch_size),
+    found = run.decisions("recurring", labeller, recurring_candidates(transactions, batch_size, run.staging),
                           validate_recurring_decisions)
-    current = run.step("flag", lambda seen: flag_recurring(transactions, found, seen))
-    current = run.step("harmonize", lambda seen: harmonize_recurring(current, as_of, seen))
-    return WorkflowResult(current, None, run.affected)
+    flags, labels = Observation(), Observation()
+    trusted = run.staging.table(trusted_recurring_labels(flag_recurring(transactions, found)), "trusted-labels")
+    flagged = flag_recurring(transactions, found, flags)
+    harmonized = harmonize_recurring(flagged, as_of, trusted=trusted, observation=labels)
+    return WorkflowResult(harmonized, None, run.affected, {"flag": flags, "harmonize": labels})

@@ -1,15 +1,21 @@
 """Transactions, rules and related tables derived from the TPC-H-like test tables.
 
 The same derivation in SQL is in FIXTURES.md and in the oracle; one transaction per
-order, in the state of a half-finished labelling run.
+order, in the state of a half-finished labelling run. The derived tables are written
+once per application and folder, as the operators expect stored tables: they prune
+columns, push filters into the scan, and plan from file sizes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_description, clean_merchant
+from .staging import Staging
 
 # Parts with a key below this number serve as merchants; the derivation takes the order key modulo it.
 MERCHANT_PARTS = 199
@@ -19,6 +25,23 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_stored_paths: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, folder: str, name: str, derive: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """The derived table, written on first use and again if its files are gone."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key in _stored_paths:
+        try:
+            return spark.read.parquet(_stored_paths[key])
+        except AnalysisException:
+            del _stored_paths[key]
+    path = Staging(spark).path(name)
+    derive(spark, folder).write.parquet(path)
+    _stored_paths[key] = path
+    return spark.read.parquet(path)
+
+
 def as_of() -> Column:
     """The fixed point in time that registered queries write into timestamps."""
     return F.lit("2024-06-01 00:00:00").cast("timestamp")
@@ -90,6 +113,20 @@ def transactions_cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned rows of which some are labelled, by various methods."""
+    return stored(spark, folder, "transactions", derive_transactions)
+
+
+def transactions_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows as after loading: neither cleaned nor labelled."""
+    return stored(spark, folder, "transactions-unlabelled", derive_transactions_unlabelled)
+
+
+def rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Global and persona rules, conflicting labels, inactive rules, patterns, whole descriptions."""
+    return stored(spark, folder, "rules", derive_rules)
+
+
+def derive_transactions(spark: SparkSession, folder: str) -> DataFrame:
     n = F.substring("transaction_id", 5, 20).cast("bigint")
     credit = F.col("transaction_type") == "Credit"
     step = n % 10
@@ -116,8 +153,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transactions_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows as after loading: neither cleaned nor labelled."""
+def derive_transactions_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
     nothing = {
         "description_cleaned": "string", "merchant_name_cleaned": "string", "category_l1": "string",
         "category_l2": "string", "is_recurring": "boolean", "categorization_method": "string", "rule_id": "string",
@@ -126,8 +162,7 @@ def transactions_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
     return transactions_raw(spark, folder).withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
 
 
-def rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Global and persona rules, conflicting labels, inactive rules, patterns, whole descriptions."""
+def derive_rules(spark: SparkSession, folder: str) -> DataFrame:
     names = (
         read_table(spark, folder, "part")
         .filter(F.col("p_partkey") < MERCHANT_PARTS)
