@@ -9,6 +9,9 @@ contains) are brought to one equi-join on a *probe*:
   substring too, so probing with all substrings of a description finds every
   pattern, and ``contains`` then removes false candidates.
 
+Up to ``SCAN_PATTERNS`` pattern rules it is cheaper to test each of them on a text than
+to look up all its substrings: such rules share one probe, and ``contains`` decides.
+
 A probe carries its kind as a prefix, so the join has two keys: probe and direction.
 
 Transactions come in as distinct match keys, so a text that occurs in a third of
@@ -27,7 +30,9 @@ from ..functions.text import substrings
 from .update import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 
 GRAM = 4
+SCAN_PATTERNS = 500
 ANY_TYPE = "All"
+ANY_PATTERN = "pattern"
 MATCH_KEY = ("merchant_name_cleaned", "description_cleaned", "persona_type", "transaction_type")
 # A row without a direction matches nothing; the other parts of its key may be NULL.
 NULLABLE_KEY = MATCH_KEY[:3]
@@ -40,10 +45,15 @@ _RULE_COLUMNS = (
 
 @dataclass(frozen=True)
 class RuleIndex:
-    """Rules with their probe, the substring lengths to probe with, and the measured size class."""
+    """Rules with their probe, how patterns are probed, and the measured size class.
+
+    ``gram_sizes`` are the substring lengths to look up; ``scan`` says that all patterns
+    share one probe instead.
+    """
 
     rules: DataFrame
     gram_sizes: tuple[int, ...]
+    scan: bool
     fits_broadcast: bool
     rule_types: tuple[str, ...]
 
@@ -81,15 +91,17 @@ def index_rules(rules: DataFrame, rule_types: tuple[str, ...] = ("merchant", "pa
     """
     usable = rules.filter(F.col("identifier").isNotNull() & F.col("rule_type").isin(*rule_types))
     usable = usable.select(*[F.col(c).alias(f"r_{c}") for c in _RULE_COLUMNS])
+    is_pattern = F.col("r_rule_type") == "pattern"
     text_bytes = sum(F.coalesce(F.octet_length(f"r_{c}"), F.lit(0)) for c in _RULE_COLUMNS[:7])
     size = usable.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(text_bytes + 64).alias("bytes"),
-        F.collect_set(
-            F.when(F.col("r_rule_type") == "pattern", F.least(F.length("r_identifier"), F.lit(GRAM)))
-        ).alias("gram_sizes"),
+        F.count_if(is_pattern).alias("n_patterns"),
+        F.collect_set(F.when(is_pattern, F.least(F.length("r_identifier"), F.lit(GRAM)))).alias("gram_sizes"),
     ).first()
-    gram_sizes = tuple(sorted(size["gram_sizes"]))
+    small = size["n"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    scan = small and 0 < size["n_patterns"] <= SCAN_PATTERNS
+    gram_sizes = () if scan else tuple(sorted(size["gram_sizes"]))
 
     if best_per_key:
         key = ["r_identifier", "r_rule_type", "r_transaction_type", "r_persona_type"]
@@ -100,22 +112,18 @@ def index_rules(rules: DataFrame, rule_types: tuple[str, ...] = ("merchant", "pa
             .agg(F.min_by(F.struct(*rest), F.struct(*rank)).alias("best"))
             .select(*key, *[F.col("best").getField(c).alias(c) for c in rest])
         )
+    identifier_probe = _tagged(F.col("r_rule_type"), F.col("r_identifier"))
     if gram_sizes:
-        patterns = usable.filter(F.col("r_rule_type") == "pattern").select("r_identifier").distinct()
-        probed = usable.join(
-            _rarest_grams(patterns),
-            (F.col("r_rule_type") == "pattern") & (F.col("r_identifier") == F.col("pattern")),
-            "left",
+        patterns = usable.filter(is_pattern).select("r_identifier").distinct()
+        usable = usable.join(
+            _rarest_grams(patterns), is_pattern & (F.col("r_identifier") == F.col("pattern")), "left"
         )
         gram = F.col("pattern_gram")
         pattern_probe = _tagged(F.concat(F.lit("pattern"), F.length(gram).cast("string")), gram)
-        identifier_probe = _tagged(F.col("r_rule_type"), F.col("r_identifier"))
-        probe = F.when(F.col("r_rule_type") == "pattern", pattern_probe).otherwise(identifier_probe)
-        probed = probed.withColumn("r_probe", probe).drop("pattern", "pattern_gram")
     else:
-        probed = usable.withColumn("r_probe", _tagged(F.col("r_rule_type"), F.col("r_identifier")))
-    small = size["n"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
-    return RuleIndex(probed, gram_sizes, small, rule_types)
+        pattern_probe = F.lit(ANY_PATTERN)
+    probed = usable.withColumn("r_probe", F.when(is_pattern, pattern_probe).otherwise(identifier_probe))
+    return RuleIndex(probed.drop("pattern", "pattern_gram"), gram_sizes, scan, small, rule_types)
 
 
 def _with_probes(keys: DataFrame, index: RuleIndex) -> DataFrame:
@@ -132,6 +140,8 @@ def _with_probes(keys: DataFrame, index: RuleIndex) -> DataFrame:
         whole.append(_tagged(F.lit("merchant"), merchant))
     if "transaction" in index.rule_types:
         whole.append(_tagged(F.lit("transaction"), description))
+    if index.scan:
+        whole.append(F.when(description.isNotNull(), F.lit(ANY_PATTERN)))
     if 0 in index.gram_sizes:
         whole.append(F.when(description.isNotNull(), F.lit("pattern0:")))
     sizes = [n for n in index.gram_sizes if n > 0]
