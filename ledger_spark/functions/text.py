@@ -1,7 +1,9 @@
 """Text cleansing as native column expressions.
 
 White space is spelled out as ``[ \\t\\n\\f\\r]`` because Java's ``\\s`` also
-matches a vertical tab, which the rules' dialect does not.
+matches a vertical tab, which the rules' dialect does not. Letters and digits are
+written ``\\p{Alnum}`` (ASCII only), which Java matches several times faster than
+the ranges a-z, A-Z and 0-9.
 """
 
 from __future__ import annotations
@@ -9,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Character classes kept by each cleaner, and the merchant prefix pattern.
-NOT_DESCRIPTION_TEXT = r"[^a-zA-Z0-9 \t\n\f\r]"
-NOT_MERCHANT_TEXT = r"[^a-zA-Z0-9 \t\n\f\r*#-]"
+NOT_ALPHANUMERIC_RUN = r"\P{Alnum}+"
+NOT_SIMPLE_TEXT = r"[^\p{Alnum} \t\n\f\r]"
+NOT_MERCHANT_TEXT = r"[^\p{Alnum} \t\n\f\r*#-]"
 WHITE_SPACE_RUN = r"[ \t\n\f\r]+"
+# Processor prefixes that precede a merchant name, and where the name ends.
 MERCHANT_PATTERN = r"^(?:SQ[ \t\n\f\r]*\*|PYPL[ \t\n\f\r]*\*|CL[ \t\n\f\r]*\*|\*[ \t\n\f\r]*)?([^*#-]+)"
 
 
@@ -21,9 +24,11 @@ def _without_hyphens(raw: Column) -> Column:
 
 
 def clean_description(raw: Column) -> Column:
-    """Drop hyphens, turn other specials into one space, lower-case, trim. NULL gives ''."""
-    spaced = F.regexp_replace(_without_hyphens(raw), NOT_DESCRIPTION_TEXT, " ")
-    return F.trim(F.lower(F.regexp_replace(spaced, WHITE_SPACE_RUN, " ")))
+    """Drop hyphens, turn each run of other specials and white space into one space, lower-case, trim.
+
+    NULL gives ''.
+    """
+    return F.trim(F.lower(F.regexp_replace(_without_hyphens(raw), NOT_ALPHANUMERIC_RUN, " ")))
 
 
 def clean_merchant(raw: Column) -> Column:
@@ -36,7 +41,7 @@ def clean_merchant(raw: Column) -> Column:
 
 def clean_description_simple(raw: Column) -> Column:
     """Ingest variant: specials vanish instead of becoming spaces. NULL gives ''."""
-    kept = F.regexp_replace(F.coalesce(raw, F.lit("")), NOT_DESCRIPTION_TEXT, "")
+    kept = F.regexp_replace(F.coalesce(raw, F.lit("")), NOT_SIMPLE_TEXT, "")
     return F.trim(F.regexp_replace(F.lower(kept), WHITE_SPACE_RUN, " "))
 
 
