@@ -31,12 +31,19 @@ def clean_description(raw: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(_without_hyphens(raw), NOT_ALPHANUMERIC_RUN, " ")))
 
 
+def merchant_match(raw: Column) -> Column:
+    """The part of the text that names the merchant, '' when there is none. The costly half of the cleaner."""
+    kept = F.regexp_replace(_without_hyphens(raw), NOT_MERCHANT_TEXT, "")
+    return F.regexp_extract(F.regexp_replace(kept, WHITE_SPACE_RUN, " "), MERCHANT_PATTERN, 1)
+
+
+def merchant_name(match: Column) -> Column:
+    return F.trim(F.lower(F.nullif(match, F.lit(""))))
+
+
 def clean_merchant(raw: Column) -> Column:
     """Merchant name without processor prefix and reference suffix; NULL when nothing is left to match."""
-    kept = F.regexp_replace(_without_hyphens(raw), NOT_MERCHANT_TEXT, "")
-    single_spaced = F.regexp_replace(kept, WHITE_SPACE_RUN, " ")
-    name = F.nullif(F.regexp_extract(single_spaced, MERCHANT_PATTERN, 1), F.lit(""))
-    return F.trim(F.lower(name))
+    return merchant_name(merchant_match(raw))
 
 
 def clean_description_simple(raw: Column) -> Column:
