@@ -7,17 +7,30 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, sharding
+from . import near_dedup, packing, quality_rules, repeats, sharding, warc
 from .common import read_table
 from .oracle import QUALITY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    out = warc.round_trip(read_table(spark, folder, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeats_digest(read_table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge_quality(read_table(spark, folder, "documents"))
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.tokenize_pieces(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(pieces)
@@ -28,7 +41,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op4_quality_rules, op8_packing, op10_sharding)
+    named = (op2_warc, op3_suffix_array_dedup, op4_quality_rules, op7_minhash, op8_packing, op10_sharding)
     return {f.__name__: f for f in named}
 
 
