@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, packing, quality_rules, repeats, sharding, warc
+from . import line_dedup, near_dedup, nearest, packing, pieces, quality_rules, repeats, sharding, toxicity, warc
 from .common import read_table
 from .oracle import QUALITY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of each text, and whether decoding gives the text back (but for the mark that stands for a space)."""
+    docs = read_table(spark, folder, "documents")
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as model:
+        table = pieces.read_model(model.read())
+    return pieces.digest(pieces.encode(docs, table, keep_text=True), table)
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     out = warc.round_trip(read_table(spark, folder, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -27,6 +35,14 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge_quality(read_table(spark, folder, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(read_table(spark, folder, "documents"))
+
+
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(read_table(spark, folder, "embeddings"))
+
+
 def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
@@ -36,12 +52,20 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    named = (op2_warc, op3_suffix_array_dedup, op4_quality_rules, op7_minhash, op8_packing, op10_sharding)
+    named = (
+        op1_sentencepiece, op2_warc, op3_suffix_array_dedup, op4_quality_rules, op5_line_dedup, op6_nearest, op7_minhash,
+        op8_packing, op9_toxicity, op10_sharding,
+    )
     return {f.__name__: f for f in named}
 
 
