@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -173,7 +174,7 @@ def segment_units(units: DataFrame, table: PieceTable) -> DataFrame:
                 a, b = F.get(cuts, i), F.get(cuts, i + 1)
                 char = F.hex(F.encode(F.substring(unit, a + 1, F.lit(1)), "utf-8"))
                 as_bytes = F.transform(
-                    F.sequence(F.lit(0), F.length(char).cast("int") / 2 - 1), lambda j: F.conv(F.substring(char, (2 * j + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + table.first_byte
+                    F.sequence(F.lit(0), F.shiftright(F.length(char), 1) - 1), lambda j: F.conv(F.substring(char, 2 * j + 1, F.lit(2)), 16, 10).cast("int") + table.first_byte
                 )
                 found = _edge(edges, a, b, "piece_id")
                 return F.when(found.isNotNull(), F.array(found)).otherwise(as_bytes)
@@ -187,7 +188,7 @@ def segment_units(units: DataFrame, table: PieceTable) -> DataFrame:
 
 def _look_up(sent):
     """Batches (row, doc_id, units) to (row, doc_id, ids of known units and -1 for others, the others with their places)."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("at", pa.list_(pa.int32())), ("unknown", pa.list_(pa.string()))])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text_crc32", pa.int64()), ("ids", pa.binary()), ("at", pa.list_(pa.int32())), ("unknown", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bytes] = cloudpickle.loads(sent.value)
@@ -196,14 +197,14 @@ def _look_up(sent):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids, places, unknown = [], [], []
-                for units in part.column(2).to_pylist():
+                for units in part.column(3).to_pylist():
                     found = [known.get(u) for u in units]
                     holes = [i for i, f in enumerate(found) if f is None]
                     places.append(holes)
                     unknown.append([units[i] for i in holes])
                     ids.append(b"".join([hole if f is None else f for f in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(places, pa.list_(pa.int32())), pa.array(unknown, pa.list_(pa.string()))], schema=schema
+                    [*part.columns[:3], pa.array(ids, pa.binary()), pa.array(places, pa.list_(pa.int32())), pa.array(unknown, pa.list_(pa.string()))], schema=schema
                 )
 
     return run
@@ -213,7 +214,7 @@ def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, ids, places, found) to (doc_id, ids) with every hole filled."""
     for batch in batches:
         out = []
-        for ids, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for ids, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             if not found:
                 out.append(np.frombuffer(ids, "<i4"))
                 continue
@@ -225,11 +226,11 @@ def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pieces += [parts[last:hole], np.array(own, "<i4")]
                 last = hole + 1
             out.append(np.concatenate([*pieces, parts[last:]]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([o.tobytes() for o in out], pa.binary())], ["doc_id", "ids"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([o.tobytes() for o in out], pa.binary())], ["doc_id", "text_crc32", "ids"])
 
 
 def encode(docs: DataFrame, table: PieceTable, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, ids: little-endian 32-bit ids as bytes) of each row.
+    """(doc_id, text_crc32, ids: little-endian 32-bit ids as bytes) of each row; the checksum is that of the text that decoding should give.
 
     Texts are cut into units; distinct units are segmented once (``segment_units``). The HEAD most
     frequent ones are looked up by the tasks that read the texts; the others are joined by unit and put
@@ -239,6 +240,8 @@ def encode(docs: DataFrame, table: PieceTable, *, id_column: str = "doc_id", tex
     """
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    plain = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit(MARK), F.lit(" "))
+    rows = rows.withColumn("text_crc32", F.crc32(plain.cast("binary")))
     counts = docs.select(F.explode(units_of(F.col(text_column))).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
     known = stage(segment_units(counts, table), "units")
     sizes = known.groupBy(F.floor(F.log2("n") * 8).alias("level")).agg(F.count("*").alias("units")).orderBy(F.desc("level")).collect()  # some 300 rows
@@ -252,26 +255,50 @@ def encode(docs: DataFrame, table: PieceTable, *, id_column: str = "doc_id", tex
     head = known.filter(is_head).select("unit", "ids").toLocalIterator(prefetchPartitions=True)
     sent = spark.sparkContext.broadcast(cloudpickle.dumps({r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in head}))
 
-    looked = rows.select("row", "doc_id", units_of(F.col("text")).alias("units")).mapInArrow(
-        _look_up(sent), "row bigint, doc_id bigint, ids binary, at array<int>, unknown array<string>"
+    looked = rows.select("row", "doc_id", "text_crc32", units_of(F.col("text")).alias("units")).mapInArrow(
+        _look_up(sent), "row bigint, doc_id bigint, text_crc32 bigint, ids binary, at array<int>, unknown array<string>"
     )
     looked = stage(looked, "looked-up")
     rest = looked.filter(F.size("unknown") > 0).select("row", F.inline(F.arrays_zip("at", F.col("unknown").alias("unit"))))
     rest = rest.toDF("row", "at", "unit").join(known.filter(~is_head).select("unit", F.col("ids").alias("found")), "unit")
     filled = rest.groupBy("row").agg(F.collect_list(F.struct("at", F.col("found").alias("ids"))).alias("found"))
-    return looked.select("row", "doc_id", "ids").join(filled, "row", "left").select("doc_id", "ids", "found").mapInArrow(_fill, "doc_id bigint, ids binary")
+    return looked.select("row", "doc_id", "text_crc32", "ids").join(filled, "row", "left").select(
+        "doc_id", "text_crc32", "ids", "found"
+    ).mapInArrow(_fill, "doc_id bigint, text_crc32 bigint, ids binary")
+
+
+def _decoder(table: PieceTable):
+    parts = [bytes([int(p[3:5], 16)]) if k == _BYTE else p.replace(MARK, " ").encode() if k in (_NORMAL, _USER) else b"" for _, p, _, k in table.pieces]
+
+    def text_of(ids: bytes) -> bytes:
+        return b"".join([parts[i] for i in np.frombuffer(ids, "<i4").tolist()]).removeprefix(b" ")
+
+    return text_of
 
 
 def decode(encoded: DataFrame, table: PieceTable) -> DataFrame:
     """(doc_id, text) from (doc_id, ids): pieces end to end, bytes joined to characters, without the space before the text."""
-    parts = [bytes([int(p[3:5], 16)]) if k == _BYTE else p.replace(MARK, " ").encode() if k in (_NORMAL, _USER) else b"" for _, p, _, k in table.pieces]
+    text_of = _decoder(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for ids in batch.column(1).to_pylist():
-                data = b"".join([parts[i] for i in np.frombuffer(ids, "<i4").tolist()])
-                texts.append(data[1:].decode("utf-8", "replace") if data[:1] == b" " else data.decode("utf-8", "replace"))
+            texts = [text_of(ids).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+
+
+def digest(encoded: DataFrame, table: PieceTable) -> DataFrame:
+    """(doc_id, n_ids, ids_crc32, round_trip: whether decoding gives the text back)."""
+    text_of = _decoder(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(2).to_pylist()
+            back = [zlib.crc32(text_of(i)) == crc for i, crc in zip(ids, batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array(back, pa.bool_())],
+                ["doc_id", "n_ids", "ids_crc32", "round_trip"],
+            )
+
+    return encoded.mapInArrow(run, "doc_id bigint, n_ids bigint, ids_crc32 bigint, round_trip boolean")

@@ -19,7 +19,7 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as model:
         table = pieces.read_model(model.read())
-    return pieces.digest(pieces.encode(docs, table, keep_text=True), table)
+    return pieces.digest(pieces.encode(docs, table), table)
 
 
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:

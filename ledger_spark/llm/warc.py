@@ -202,9 +202,10 @@ def read_archives(spark: SparkSession, manifest: DataFrame, *, with_payload: boo
 
     Each row carries the bytes and the SHA-256 of the payload up to and with its chunk, so a record is
     checked while it streams and the row with ``is_last`` speaks for the whole. A task holds one chunk
-    and a read buffer, however long a record is; files are dealt to tasks.
+    and a read buffer, however long a record is; each file is a task's share.
     """
-    return manifest.select("path").distinct().mapInArrow(_reader(with_payload), _ddl(_CHUNKS))
+    paths = manifest.select("path").distinct()
+    return paths.repartition(max(1, paths.count())).mapInArrow(_reader(with_payload), _ddl(_CHUNKS))
 
 
 def records(chunks: DataFrame) -> DataFrame:
