@@ -279,7 +279,6 @@ def _rest(data: bytes, cuts: list[tuple[int, int]]) -> Iterator[bytes]:
     yield data[at:]
 
 
-@F.pandas_udf("string")
 def _without(text: pd.Series, found: pd.Series) -> pd.Series:
     """Texts without the covered bytes; a character that a cut leaves in part goes as a whole."""
     def one(t, f):
@@ -360,5 +359,5 @@ def remove_repeats(
         "_id": F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)), "_tk": F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))),
     })
     found = find_repeats(_keyed(docs, id_column, text_column), length=length, gram=gram).toDF("_id", "_tk", "_found")
-    cut = F.when(F.col("_found").isNull(), F.col(text_column)).otherwise(_without(F.col(text_column), F.col("_found")))
+    cut = F.when(F.col("_found").isNull(), F.col(text_column)).otherwise(F.pandas_udf(_without, "string")(F.col(text_column), F.col("_found")))
     return keyed.join(found, ["_id", "_tk"], "left").withColumn(text_column, cut).select(*docs.columns)
