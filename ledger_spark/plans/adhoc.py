@@ -7,16 +7,29 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-ALLOWED_STARTS = ("select", "with")
+
+
+def _is_query(spark: SparkSession, sql: str) -> bool:
+    """Whether the parsed statement, with all parts of it, only reads."""
+    logical = "org.apache.spark.sql.catalyst.plans.logical."
+    writing = [spark._jvm.java.lang.Class.forName(logical + name) for name in ("Command", "ParsedStatement")]
+    parts = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    while parts:
+        plan = parts.pop()
+        if any(kind.isInstance(plan) for kind in writing):
+            return False
+        children = plan.children()
+        parts += [children.apply(i) for i in range(children.size())]
+    return True
 
 
 def run_query(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], args: Mapping[str, Any] | None = None) -> DataFrame:
     """Run a SELECT or WITH statement over ``views``; values are passed as named parameters.
 
-    Changes to a table are made by the operators (``keyed_update`` and the functions
+    The parsed statement decides, not its first word. Changes to a table are made by the operators (``keyed_update`` and the functions
     built on it), which return a new frame.
     """
-    if not sql.strip().lower().startswith(ALLOWED_STARTS):
+    if not _is_query(spark, sql):
         raise ValueError("only SELECT and WITH statements; use the update operators to change rows")
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)

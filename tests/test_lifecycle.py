@@ -76,7 +76,9 @@ def test_adhoc_queries(spark, make_transactions):
     sql = "SELECT count(*) AS n FROM t WHERE merchant_name_cleaned <=> :name"
     assert run_query(spark, sql, {"t": rows}, {"name": "o'hare"}).first().n == 1
     assert run_query(spark, "  with x as (select 1 as a) select * from x", {}).first().a == 1
-    for refused in ("DELETE FROM t", "UPDATE t SET a = 1", "DROP TABLE t"):
+    assert run_query(spark, "/* all */ SELECT 1 AS a", {}).first().a == 1
+    writes = ("WITH x AS (SELECT 1 AS a) INSERT INTO t SELECT a FROM x", "WITH x AS (SELECT 1 AS a) DELETE FROM t WHERE a IN (SELECT a FROM x)")
+    for refused in ("DELETE FROM t", "UPDATE t SET a = 1", "DROP TABLE t", "SET a = 1", *writes):
         with pytest.raises(ValueError):
             run_query(spark, refused, {"t": rows})
 
