@@ -16,7 +16,10 @@ from .shingles import Hasher, mix, odd_numbers
 BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
 LONGS = MINIMA * BITS // 64
+WIDE_MINIMA = 1024  # of the members of mixed buckets
+WIDE_LONGS = WIDE_MINIMA * BITS // 64
 _SCREEN_SIGMAS = 4.5
+_BLOCK_ROWS = 512  # members of a bucket compared at once
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -63,6 +66,57 @@ def _describe(words: int):
     return run
 
 
+def _widen(words: int):
+    """Batches (id, component, text, bands) to (id, component, packed bits of 1024 minima and the band keys as one string of bytes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, a = Hasher(words), odd_numbers(WIDE_MINIMA, 17)
+        shift = (np.arange(64 // BITS) * BITS).astype(np.uint64)
+        for batch in batches:
+            packed = []
+            for x, bands in zip(hasher.sets(batch.column(2).to_pylist()), batch.column(3).to_pylist(), strict=True):
+                minima = np.array([(x * m).min() for m in a])
+                low = ((minima >> np.uint64(24)) & np.uint64((1 << BITS) - 1)).reshape(WIDE_LONGS, -1) << shift
+                packed.append(np.bitwise_or.reduce(low, axis=1).tobytes() + np.array(bands, np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["id", "component", "wide"])
+
+    return run
+
+
+def _compare_blocks(enough: int):
+    """Batches (key, loose members, other members) to the pairs that may be similar enough, each from its first shared band.
+
+    Members are (id, component, is_center, wide). Work is one block against one block, row by row of the first.
+    """
+
+    def columns(block: list[dict]) -> tuple[np.ndarray, ...]:
+        wide = np.frombuffer(b"".join(m["wide"] for m in block), np.uint64).reshape(len(block), WIDE_LONGS + BANDS)
+        ids, component = (np.array([m[c] for m in block], np.int64) for c in ("id", "component"))
+        return ids, component, np.array([m["is_center"] for m in block], bool), wide[:, :WIDE_LONGS], wide[:, WIDE_LONGS:].view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odd_bits = np.uint64(0x5555555555555555)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1).to_pylist()[0]
+                ids, parts, _, lows, bands = columns(one["loose"])
+                other_ids, other_parts, centers, other_lows, other_bands = columns(one["others"])
+                first = np.argmax(bands == one["key"], axis=1)
+                found_a, found_b = [], []
+                for i in range(len(ids)):
+                    to = np.flatnonzero((other_parts != parts[i]) & ~centers)
+                    d = other_lows[to] ^ lows[i]
+                    equal = WIDE_MINIMA - np.bitwise_count((d | (d >> np.uint64(1))) & odd_bits).sum(axis=1, dtype=np.int64)
+                    to = to[equal >= enough]
+                    to = to[~(other_bands[to, : first[i]] == bands[i, : first[i]]).any(axis=1)]
+                    found_a.append(np.minimum(other_ids[to], ids[i]))
+                    found_b.append(np.maximum(other_ids[to], ids[i]))
+                if found_a:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], schema=_LINK)
+
+    return run
+
+
 def _confirm(words: int, percent: int):
     """Batches (a, b, text of a, text of b) to the pairs whose full sets are similar enough."""
 
@@ -90,11 +144,11 @@ def _equal_minima(x: str, y: str) -> Column:
     return F.lit(MINIMA) - differing
 
 
-def _least_equal(percent: int) -> int:
+def _least_equal(percent: int, minima: int = MINIMA) -> int:
     """Fewest equal low bits that a pair at the limit may show: expected value with chance collisions, less 4.5 deviations."""
     similarity = percent / 100
     p = similarity + (1 - similarity) / 2**BITS
-    return int(MINIMA * p - _SCREEN_SIGMAS * (MINIMA * p * (1 - p)) ** 0.5)
+    return int(minima * p - _SCREEN_SIGMAS * (minima * p * (1 - p)) ** 0.5)
 
 
 def near_duplicates(
@@ -106,8 +160,9 @@ def near_duplicates(
     of which bands of four give candidate buckets (a pair at 0.8 misses all 32 with a chance of 5e-8)
     and two low bits each a packed signature. In a bucket every member is paired with the smallest id
     first; pairs pass a count of equal low bits, corrected for chance collisions, and then a comparison
-    of the full sets. What that leaves in different components of a bucket is compared pair by pair
-    through the signatures, so no link is lost while large groups of copies stay linear.
+    of the full sets. What that leaves in different components of a bucket is compared block by block of
+    512 members through signatures of 1024 minima, each pair in its first shared band, so no link is lost
+    while large groups of copies stay linear.
 
     A text without words (null, empty) has an empty set and no links. Repeated rows count as one
     document. Rows with a null id are returned as one row, unlinked and kept. An empty table gives an
@@ -142,15 +197,20 @@ def near_duplicates(
     labelled = members.join(component.withColumnRenamed("node", "id"), "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    rest = stage(labelled.join(mixed, "key", "left_semi").select("key", "id", "center", "component", *sig), "rest")
+    rest = stage(labelled.join(mixed, "key", "left_semi").select("key", "id", "center", "component"), "rest")
     # members that share the component of the bucket's center have no link to add among themselves
     own = rest.filter("id = center").select("key", F.col("component").alias("main"))
-    loose = rest.join(own, "key").filter("component != main").drop("main")
-    pairs = loose.alias("x").join(rest.alias("y"), "key").filter(
-        (F.col("x.component") != F.col("y.component")) & (F.col("x.id") != F.col("y.id"))
-        & (F.col("y.id") != F.col("y.center")) & (_equal_minima("x", "y") >= enough)
-    )
-    pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    sizes = rest.groupBy("key").agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / _BLOCK_ROWS)
+    placed = rest.join(own, "key").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks))
+
+    distinct = rest.select("id", "component").distinct().join(reps.select("id", "bands"), "id").join(texts, "id")
+    wide = stage(distinct.select("id", "component", "text", "bands").mapInArrow(_widen(words), "id bigint, component bigint, wide binary"), "wide")
+    member = F.struct("id", "component", (F.col("id") == F.col("center")).alias("is_center"), "wide")
+    filled = placed.drop("component").join(wide, "id").withColumn("member", member)
+    others = filled.groupBy("key", "block").agg(F.collect_list("member").alias("others")).drop("block")
+    loose = filled.filter("component != main").groupBy("key", "block").agg(F.collect_list("member").alias("loose")).drop("block")
+    pairs = loose.join(others, "key").mapInArrow(_compare_blocks(_least_equal(percent, WIDE_MINIMA)), "a bigint, b bigint").distinct()
     component = stage(connected_components(found.unionByName(links(pairs))), "components")
 
     named = seen.join(classes, ["k1", "k2"], "left").join(component.withColumnRenamed("node", "rep"), "rep", "left")
