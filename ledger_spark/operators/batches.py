@@ -10,9 +10,8 @@ from ..sources.staging import Staging
 from .recurring import latest_examples
 from .update import broadcast_limited, key_condition
 
-# Rows a group needs, default batch, examples per group.
+# Rows a group needs, examples per group.
 MIN_GROUP_ROWS = 2
-GROUP_BATCH = 200
 MERCHANT_EXAMPLES = 3
 PATTERN_EXAMPLES = 2
 
@@ -44,14 +43,14 @@ def _top_groups(rows: DataFrame, key: tuple[str, ...], batch_size: int | None) -
     return groups.orderBy(*ranking).limit(batch_size)
 
 
-def top_merchant_groups(transactions: DataFrame, batch_size: int | None = GROUP_BATCH) -> DataFrame:
-    """Most frequent (merchant, direction, persona) groups among unlabelled rows that are no transfers."""
+def top_merchant_groups(transactions: DataFrame, batch_size: int | None = None) -> DataFrame:
+    """All (merchant, direction, persona) groups among unlabelled rows that are no transfers, or the ``batch_size`` most frequent."""
     rows = transactions.filter(is_unlabelled() & has_text("merchant_name_cleaned") & _not_transfer())
     return _top_groups(rows, MERCHANT_GROUP, batch_size)
 
 
-def top_pattern_groups(transactions: DataFrame, batch_size: int | None = GROUP_BATCH) -> DataFrame:
-    """Most frequent (description prefix, direction, channel, persona) groups, as for merchants."""
+def top_pattern_groups(transactions: DataFrame, batch_size: int | None = None) -> DataFrame:
+    """All (description prefix, direction, channel, persona) groups, or the most frequent, as for merchants."""
     rows = transactions.filter(is_unlabelled() & has_text("description_cleaned") & _not_transfer())
     return _top_groups(with_description_prefix(rows), PATTERN_GROUP, batch_size)
 
@@ -79,9 +78,9 @@ def _with_examples(groups: DataFrame, rows: DataFrame, key: tuple[str, ...], ord
     )
 
 
-def merchant_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH,
+def merchant_batch(transactions: DataFrame, batch_size: int | None = None,
                    staging: Staging | None = None) -> DataFrame:
-    """Top merchant groups with their three latest unlabelled rows. ``None`` gives all groups."""
+    """Merchant groups with their three latest unlabelled rows; ``batch_size`` limits them to the most frequent."""
     return _with_examples(
         top_merchant_groups(transactions, batch_size),
         transactions.filter(is_unlabelled()),
@@ -94,9 +93,9 @@ def merchant_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH
     )
 
 
-def pattern_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH,
+def pattern_batch(transactions: DataFrame, batch_size: int | None = None,
                   staging: Staging | None = None) -> DataFrame:
-    """Top pattern groups with two unlabelled rows, by transaction id. ``None`` gives all groups."""
+    """Pattern groups with two unlabelled rows, by transaction id; ``batch_size`` limits them to the most frequent."""
     return _with_examples(
         top_pattern_groups(transactions, batch_size),
         with_description_prefix(transactions.filter(is_unlabelled())),
@@ -109,9 +108,9 @@ def pattern_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH,
     )
 
 
-def transaction_batch(transactions: DataFrame, batch_size: int | None = GROUP_BATCH,
+def transaction_batch(transactions: DataFrame, batch_size: int | None = None,
                       transaction_type: str | None = None) -> DataFrame:
-    """Single unlabelled rows in id order, optionally of one direction. ``None`` gives all of them."""
+    """Single unlabelled rows, optionally of one direction; ``batch_size`` takes the first in id order."""
     rows = transactions.filter(is_unlabelled() & _not_transfer())
     if transaction_type is not None:
         rows = rows.filter(F.col("transaction_type") == transaction_type)

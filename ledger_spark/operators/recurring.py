@@ -20,7 +20,6 @@ MERCHANT_KEY = ("merchant_name_cleaned", "transaction_type")
 # Words that hint at a subscription, rows a candidate needs, default batch.
 RECURRING_WORDS = "monthly|weekly|annual|subscription|membership|recurring|plan"
 MIN_CANDIDATE_ROWS = 5
-CANDIDATE_BATCH = 300
 EXAMPLES_PER_CANDIDATE = 2
 
 
@@ -112,13 +111,13 @@ def latest_examples(rows: DataFrame, key: tuple[str, ...], order: list[Column],
     )
 
 
-def recurring_candidates(transactions: DataFrame, batch_size: int | None = CANDIDATE_BATCH,
+def recurring_candidates(transactions: DataFrame, batch_size: int | None = None,
                          staging: Staging | None = None) -> DataFrame:
     """Merchants that may be recurring, with the evidence to decide on.
 
     Evidence: row count, gap histogram, keyword flag, sample deviation and mean of the
     absolute amount, two latest rows. Keyword merchants first, then the most frequent.
-    ``batch_size=None`` returns all candidates. With ``staging`` a limited set of groups
+    ``batch_size`` keeps the first so many. With ``staging`` a limited set of groups
     is computed once for its three uses.
     """
     rows = open_debits(transactions)

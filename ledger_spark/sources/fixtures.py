@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_description, clean_merchant
 from .staging import Staging
 
-# Parts with a key below this number serve as merchants; the derivation takes the order key modulo it.
-MERCHANT_PARTS = 199
-
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -54,18 +51,21 @@ def _text(column: Column) -> Column:
 def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders")
     customers = read_table(spark, folder, "customer")
-    merchants = read_table(spark, folder, "part").filter(F.col("p_partkey") < MERCHANT_PARTS)
+    merchants = read_table(spark, folder, "part")
+    parts = merchants.agg(F.max("p_partkey")).first()[0] or 0  # all parts serve as merchants
     order, customer, name = F.col("o_orderkey"), F.col("o_custkey"), F.col("p_name")
     credit = order % 5 == 0
     kind = order % 8
+    wire = order % 16 == 10
     square = F.concat(F.lit("SQ *"), F.upper(name), F.lit(" #B"), _text(order % 40))
     toast = F.concat(F.lit("TST* "), name)
     store = F.concat(F.upper(name), F.lit(" #"), _text(order % 7))
     online = F.concat(F.upper(name), F.lit("*A"), _text(order % 5))
-    paypal = F.concat(F.lit("PYPL *"), name, F.lit(" & CO-"), _text(customer % 200))
+    seller = F.when(order % 16 == 13, F.col("c_mktsegment")).otherwise(name)  # no rule knows these
+    paypal = F.concat(F.lit("PYPL *"), seller, F.lit(" & CO-"), _text(customer % 200))
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(merchants, F.col("p_partkey") == order % MERCHANT_PARTS)
+        .join(merchants, F.col("p_partkey") == order % (parts + 1))
         .select(
             F.concat(F.lit("TXN-"), _text(order)).alias("transaction_id"),
             F.concat(F.lit("ACC-"), _text(customer)).alias("account_id"),
@@ -78,7 +78,8 @@ def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderdate").cast("timestamp").alias("transaction_date"),
             F.when(credit, "Credit").otherwise("Debit").alias("transaction_type"),
             (F.when(credit, 1.0).otherwise(-1.0) * F.floor("o_totalprice") / 100.0).alias("amount"),
-            F.when(kind == 0, square)
+            F.when(wire, F.concat(F.lit("WIRE OUT "), F.col("c_mktsegment")))
+            .when(kind == 0, square)
             .when(kind == 1, toast)
             .when(kind == 2, F.concat(F.lit("POS DEBIT "), store, F.lit(" PHOENIX AZ")))
             .when(kind == 3, F.concat(F.lit("ACH DEBIT - "), F.upper(name), F.lit(" MONTHLY PLAN")))
@@ -86,7 +87,8 @@ def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
             .when(kind == 5, paypal)
             .when(kind == 6, "")
             .alias("description_raw"),
-            F.when(kind == 0, square)
+            F.when(wire, F.lit(None))
+            .when(kind == 0, square)
             .when(kind == 1, toast)
             .when(kind == 2, store)
             .when(kind == 3, F.upper(name))
@@ -165,7 +167,6 @@ def derive_transactions_unlabelled(spark: SparkSession, folder: str) -> DataFram
 def derive_rules(spark: SparkSession, folder: str) -> DataFrame:
     names = (
         read_table(spark, folder, "part")
-        .filter(F.col("p_partkey") < MERCHANT_PARTS)
         .groupBy("p_name")
         .agg(F.min("p_partkey").alias("k"))
     )

@@ -10,8 +10,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry_module  # noqa: E402
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+from ledger_spark.plans import oracle, registry  # noqa: E402
+
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 SPARK_TO_SQL = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 
@@ -46,5 +48,9 @@ def test_query_equals_oracle(spark, small_folder, database, name):
     assert actual
 
 
+def test_entry_registers_the_library():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark, small_folder):
     assert entry_module.entry(spark).count() > 0
