@@ -85,6 +85,29 @@ def test_near_duplicates(docs):
     assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == {i: (len(s), name[i], name[i] == i) for i, s in sets.items()}
 
 
+def test_near_duplicates_of_families(spark, monkeypatch):
+    """Families whose members are near each other but not all near the first: compared in several blocks."""
+    monkeypatch.setattr(near_dedup, "_BLOCK_ROWS", 4)
+    rng, rows = np.random.default_rng(8), []
+    for family in range(3):
+        base = [f"f{family}w{k}" for k in range(120)]
+        for member in range(25):
+            words = list(base)
+            for variant in range(1 + member % 3):
+                words[variant * 30 : variant * 30 + 9] = [f"v{family}-{variant}-{k}" for k in range(9)]
+            words[int(rng.integers(95, 119))] = f"own{member}"
+            rows.append((len(rows), " ".join(words)))
+    sets = {i: {tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows}
+    name = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(10):
+        for a, b in links:
+            name[a] = name[b] = min(name[a], name[b])
+    assert len(set(name.values())) > 3 and links
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == name
+
+
 def test_repeated_lines(docs):
     lines = {}
     for i, t in texts_of(docs):
