@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +17,9 @@ LIST_ROWS = 128  # aimed at
 MOST_LISTS = 4_096
 REPLICAS, BOUNDARY = 4, 1.12
 LEAST_LISTS, RATIO = 12, 1.22
-BLOCK_ROWS = 4_096  # of a list searched in one task
-_DEGREE, _EF = 24, 96
+PROBES, RECALL = 256, 0.999  # queries compared with the whole table, and the share of their neighbours that lists must hold
+LEAST_BLOCKS, BLOCK_BYTES = 16, 4 << 20  # postings are compared in blocks of at most so many bytes of vectors
+QUERY_BYTES = 4 << 20  # of the queries compared with a block at once
 
 
 def _halve(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -45,52 +45,6 @@ def balanced_centroids(x: np.ndarray, lists: int, seed: int = 5) -> np.ndarray:
     return np.array([c.mean(0) for c in cells])
 
 
-class CentroidGraph:
-    """Neighbours of each centroid, searched best first from a fixed entry."""
-
-    def __init__(self, centroids: np.ndarray):
-        self.x = centroids
-        self.norm = (centroids**2).sum(1)
-        near = np.empty((len(centroids), min(_DEGREE, len(centroids))), np.int64)
-        for at in range(0, len(centroids), 512):
-            d = self.norm[None] - 2 * centroids[at : at + 512] @ centroids.T
-            near[at : at + 512] = np.argsort(d, axis=1, kind="stable")[:, : near.shape[1]]
-        links = [set(row.tolist()) for row in near]
-        for i, row in enumerate(near.tolist()):  # both ways, so that no centroid is out of reach of its neighbours
-            for j in row:
-                links[j].add(i)
-        for i in range(1, len(centroids)):  # a path through all
-            links[i - 1].add(i)
-        self.links = [np.array(sorted(s - {i}), np.int64) for i, s in enumerate(links)]
-
-    def search(self, q: np.ndarray, ef: int = _EF) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest centroids found and their distances, nearest first."""
-        own = float(q @ q)
-        dist = lambda at: np.maximum(own + self.norm[at] - 2 * (self.x[at] @ q), 0.0)
-        entries = np.unique(np.linspace(0, len(self.x) - 1, 16).astype(np.int64))
-        seen = np.zeros(len(self.x), bool)
-        seen[entries] = True
-        d = dist(entries).tolist()
-        queue = list(zip(d, entries.tolist(), strict=True))
-        best = [(-a, b) for a, b in queue]
-        heapq.heapify(queue)
-        heapq.heapify(best)
-        while queue:
-            d0, at = heapq.heappop(queue)
-            if len(best) >= ef and d0 > -best[0][0]:
-                break
-            new = self.links[at][~seen[self.links[at]]]
-            seen[new] = True
-            for a, b in zip(dist(new).tolist(), new.tolist(), strict=True):
-                if len(best) < ef or a < -best[0][0]:
-                    heapq.heappush(queue, (a, b))
-                    heapq.heappush(best, (-a, b))
-                    if len(best) > ef:
-                        heapq.heappop(best)
-        found = sorted((-a, b) for a, b in best)
-        return np.array([b for _, b in found]), np.sqrt(np.array([a for a, _ in found]))
-
-
 def _rows(batch: pd.DataFrame) -> np.ndarray:
     return np.stack([np.frombuffer(b, np.float64) for b in batch["v"]])
 
@@ -100,6 +54,66 @@ def _lifted(x: np.ndarray, top_norm: float) -> np.ndarray:
     return np.column_stack((x, np.sqrt(np.maximum(top_norm**2 - (x**2).sum(1), 0.0))))
 
 
+def _scaled(q: np.ndarray, top_norm: float) -> np.ndarray:
+    """Queries at the norm of the lifted vectors: the nearest by product does not depend on the query's length."""
+    return np.column_stack((q * (top_norm / np.sqrt((q**2).sum(1)))[:, None], np.zeros(len(q))))
+
+
+def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x**2).sum(1)[:, None] + (centroids**2).sum(1)[None] - 2 * x @ centroids.T, 0.0))
+
+
+def _steps(pieces: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each run of ``pieces``."""
+    return np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+
+
+def _blocks(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first block of each list and their number: neighbours share one, a crowded list has several."""
+    most = max(1, min(most, -(-int(sizes.sum()) // LEAST_BLOCKS)))
+    first, pieces, block, filled = [], [], -1, most
+    for size in sizes.tolist():
+        k = max(1, -(-size // most))
+        if k > 1 or filled + size > most:
+            block, filled = block + 1, 0
+        first.append(block)
+        pieces.append(k)
+        block += k - 1
+        filled = most if k > 1 else filled + size
+    return np.array(first), np.array(pieces)
+
+
+def _opened(lists: np.ndarray, first: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Blocks of some lists."""
+    return np.unique(np.repeat(first[lists], pieces[lists]) + _steps(pieces[lists]))
+
+
+def _needed(placed: DataFrame, probes: pd.DataFrame, ratios: np.ndarray, top: int) -> list[float]:
+    """For each of the ``top`` nearest others of each probe, the least ratio that opens a list it is on."""
+    q = _rows(probes)
+    own = {v: i for i, v in enumerate(probes["v"].map(bytes))}
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scores, least = np.empty((len(q), 0)), np.empty((len(q), 0))
+        for batch in batches:
+            for at in range(0, len(batch), 2_000):
+                part = batch.iloc[at : at + 2_000]
+                more = q @ _rows(part).T
+                for j, v in enumerate(part["v"]):
+                    if (i := own.get(bytes(v))) is not None:
+                        more[i, j] = -np.inf
+                near = np.column_stack([ratios[:, lists].min(1) for lists in part["lists"]])
+                scores, least = np.column_stack((scores, more)), np.column_stack((least, near))
+                keep = np.argsort(-scores, axis=1, kind="stable")[:, :top]
+                scores, least = np.take_along_axis(scores, keep, 1), np.take_along_axis(least, keep, 1)
+        probe, at = np.nonzero(scores > -np.inf)
+        yield pd.DataFrame({"probe": probe, "score": scores[probe, at], "ratio": least[probe, at]})
+
+    found = placed.select("v", "lists").mapInPandas(best, "probe bigint, score double, ratio double")
+    nth = F.row_number().over(Window.partitionBy("probe").orderBy(F.desc("score"), "ratio"))
+    return [r["ratio"] for r in found.withColumn("nth", nth).filter(F.col("nth") <= top).select("ratio").collect()]  # <= PROBES * top rows
+
+
 def _to_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         yield pd.DataFrame({"id": rows["id"], "v": [np.asarray(v, np.float64).tobytes() for v in rows["v"]]})
@@ -117,9 +131,13 @@ def nearest(
 
     Index: centroids of equal cells are fit on SAMPLE distinct vectors; every distinct vector is put on
     the list of its nearest centroid and, near a boundary, of up to REPLICAS centroids within BOUNDARY
-    times that distance. A query searches the graph of the centroids and keeps the LEAST_LISTS nearest
-    lists and all within RATIO times the nearest distance. Lists are compared in blocks of about
-    BLOCK_ROWS vectors, so a crowded list is spread over tasks. With one list the search is exact.
+    times that distance. A query opens the LEAST_LISTS nearest lists and all within a ratio of the
+    nearest distance, however many they are. The ratio is measured on the table: PROBES queries are
+    compared with all vectors, and it is RATIO or what holds RECALL of their neighbours, if that is more.
+    Neighbouring lists share a block of at most BLOCK_BYTES (a crowded list is spread over several), and
+    a query is compared with all of each block that it opens one list of. Where that is as many
+    comparisons as with all vectors, as on vectors without structure, the search is exact: each vector is
+    posted once and each query compared with all.
     """
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
@@ -143,62 +161,78 @@ def nearest(
     centroids = balanced_centroids(_lifted(sample, norms), lists) if lists > 1 else _lifted(sample, norms).mean(0)[None]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        square = (centroids**2).sum(1)
         for batch in batches:
             for at in range(0, len(batch), 2_000):
                 part = batch.iloc[at : at + 2_000]
-                x = _lifted(_rows(part), norms)
-                d = np.sqrt(np.maximum((x**2).sum(1)[:, None] + square[None] - 2 * x @ centroids.T, 0.0))
+                d = _distances(_lifted(_rows(part), norms), centroids)
                 near = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
                 dist = np.take_along_axis(d, near, 1)
                 keep = dist <= dist[:, :1] * BOUNDARY
                 keep[:, 0] = True
-                which = np.nonzero(keep)
-                out = part.iloc[which[0]][["v", "ids"]].copy()
-                out.insert(0, "list", near[which])
-                yield out
+                yield part[["v", "ids"]].assign(lists=[n[k] for n, k in zip(near, keep, strict=True)])
+
+    placed = stage(distinct.select("v", "ids").mapInPandas(assign, "v binary, ids array<bigint>, lists array<bigint>"), "placed")
+    asking = rows.filter(F.pmod("id", F.lit(every)) == 0)
+    asked = stage(asking.select("k1", "k2", "v").dropDuplicates(["k1", "k2"]), "asked")
+    sizes = {r["list"]: r["count"] for r in placed.select(F.explode("lists").alias("list")).groupBy("list").count().collect()}  # <= MOST_LISTS rows
+    width = 8 * common_size["size"]
+    first, pieces = _blocks(np.array([sizes.get(c, 0) for c in range(len(centroids))]), max(1, BLOCK_BYTES // width))
+
+    probes = asked.orderBy(F.xxhash64("k1"), "k2").limit(PROBES).select("v").toPandas()
+    ratio, compared = RATIO, n
+    if lists > LEAST_LISTS and len(probes):
+        d = np.sort(away := _distances(_scaled(_rows(probes), norms), centroids), axis=1)
+        needed = _needed(placed, probes, away / d[:, :1], top)
+        if needed:
+            ratio = max(RATIO, float(np.quantile(needed, RECALL, method="higher")))
+        opened = away <= np.maximum(d[:, :1] * ratio, d[:, [LEAST_LISTS - 1]])
+        rows_of = np.bincount(np.repeat(first, pieces) + _steps(pieces), np.repeat([sizes.get(c, 0) / k for c, k in enumerate(pieces.tolist())], pieces))
+        compared = float(np.mean([sum(rows_of[b] for b in _opened(o, first, pieces)) for o in map(np.flatnonzero, opened)]))
+    exact = compared >= n
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        graph = CentroidGraph(centroids)
         for batch in batches:
-            out = []
-            if len(batch):
-                x = np.column_stack((_rows(batch), np.zeros(len(batch))))
-                scale = norms / np.sqrt((x**2).sum(1))  # the nearest by product does not depend on the query's length
-                for k1, k2, v, q in zip(batch["k1"], batch["k2"], batch["v"], x * scale[:, None], strict=True):
-                    at, d = graph.search(q)
-                    keep = (d <= d[0] * RATIO) | (np.arange(len(d)) < LEAST_LISTS)
-                    out += [(k1, k2, v, int(c)) for c in at[keep]]
-            yield pd.DataFrame(out, columns=["k1", "k2", "v", "list"])
-
-    postings = stage(distinct.select("v", "ids").mapInPandas(assign, "list bigint, v binary, ids array<bigint>"), "postings")
-    blocks = {r["list"]: -(-r["count"] // BLOCK_ROWS) for r in postings.groupBy("list").count().collect()}  # <= MOST_LISTS rows
-    crowded = {k: v for k, v in blocks.items() if v > 1}
-    count = F.coalesce(*[F.when(F.col("list") == k, F.lit(v)) for k, v in crowded.items()], F.lit(1)) if crowded else F.lit(1)
-    postings = postings.withColumn("block", F.pmod(F.xxhash64("v"), count).cast("int"))
-
-    asking = rows.filter(F.pmod("id", F.lit(every)) == 0)
-    asked = asking.select("k1", "k2", "v").dropDuplicates(["k1", "k2"])
-    routed = asked.mapInPandas(choose, "k1 bigint, k2 bigint, v binary, list bigint")
-    routed = routed.withColumn("block", F.explode(F.sequence(F.lit(0), count.cast("int") - 1)))
+            for at in range(0, len(batch), 2_000):
+                part = batch.iloc[at : at + 2_000]
+                d = _distances(_scaled(_rows(part), norms), centroids)
+                limit = np.maximum(d.min(1) * ratio, np.partition(d, LEAST_LISTS - 1, axis=1)[:, LEAST_LISTS - 1])
+                yield part.assign(blocks=[_opened(np.flatnonzero(o), first, pieces) for o in d <= limit[:, None]])
+
+    if exact:
+        blocks = max(LEAST_BLOCKS, -(-n * width // BLOCK_BYTES))
+        postings = placed.select(F.pmod(F.xxhash64("v"), F.lit(blocks)).alias("block"), "v", "ids")
+        routed = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    else:
+        table = pd.DataFrame({"list": np.arange(len(first)), "first": first, "pieces": pieces})  # <= MOST_LISTS rows
+        postings = placed.select("v", "ids", F.explode("lists").alias("list")).join(F.broadcast(vectors.sparkSession.createDataFrame(table)), "list")
+        postings = postings.select((F.col("first") + F.pmod(F.xxhash64("v"), "pieces")).alias("block"), "v", "ids")
+        postings = postings.groupBy("block", "v").agg(F.first("ids").alias("ids"))  # on several lists of the block
+        routed = asked.mapInPandas(choose, "k1 bigint, k2 bigint, v binary, blocks array<bigint>").withColumn("block", F.explode("blocks")).drop("blocks")
+    parts = max(1, -(-asked.count() * width // QUERY_BYTES))
+    postings = postings.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
+    routed = routed.withColumn("part", F.pmod(F.xxhash64("k2"), F.lit(parts)))
 
     def compare(key, posted: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(posted) and len(queries):
             x, ids = _rows(posted), posted["ids"].to_numpy()
-            for at in range(0, len(queries), 256):
-                part = queries.iloc[at : at + 256]
+            least = np.array([i[0] for i in ids])
+            slack = 1e-12 * np.sqrt((x**2).sum(1).max())
+            for at in range(0, len(queries), 128):
+                part = queries.iloc[at : at + 128]
                 q = _rows(part)
                 rough = q @ x.T
-                kept = min(len(x), 2 * (top + 1))
-                pick = np.argpartition(-rough, kept - 1, axis=1)[:, :kept]
-                for k1, k2, one, chosen in zip(part["k1"], part["k2"], q, pick, strict=True):
+                kept = min(len(x), top + 1)
+                floor = np.partition(rough, len(x) - kept, axis=1)[:, len(x) - kept] - slack * np.sqrt((q**2).sum(1))
+                for k1, k2, one, rs, low in zip(part["k1"], part["k2"], q, rough, floor, strict=True):
+                    chosen = np.flatnonzero(rs >= low)
                     scores = (x[chosen] * one).sum(axis=1)
-                    found = sorted((-s, int(i)) for s, c in zip(scores.tolist(), chosen.tolist(), strict=True) for i in ids[c])
+                    best = np.lexsort((least[chosen], -scores))[:kept]
+                    found = sorted((-s, int(i)) for s, c in zip(scores[best].tolist(), chosen[best].tolist(), strict=True) for i in ids[c])
                     out += [(k1, k2, i, -s) for s, i in found[: top + 1]]
         return pd.DataFrame(out, columns=["k1", "k2", "vec_id", "score"])
 
-    found = postings.groupBy("list", "block").cogroup(routed.groupBy("list", "block")).applyInPandas(
+    found = postings.groupBy("block", "part").cogroup(routed.groupBy("block", "part")).applyInPandas(
         compare, "k1 bigint, k2 bigint, vec_id bigint, score double"
     )
     found = found.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"))

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -233,6 +234,41 @@ def test_nearest(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def _recall(spark, x, every):
+    def emit(batches):
+        for b in batches:
+            yield pd.DataFrame({"vec_id": b["id"], "embedding": list(x[b["id"]])})
+
+    rows = spark.range(len(x)).mapInPandas(emit, "vec_id bigint, embedding array<double>")
+    found = collections.defaultdict(set)
+    for r in nearest.nearest(rows, every=every).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    assert len(found) == -(-len(x) // every) and all(len(f) == 20 for f in found.values())
+    hits = 0
+    for q, ids in found.items():
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argpartition(-scores, 20)[:20]) & ids)
+    return hits / (20 * len(found))
+
+
+def test_nearest_holds_recall_on_many_vectors_without_structure(spark):
+    x = np.random.default_rng(2).normal(size=(100_000, 64))
+    assert _recall(spark, x / np.sqrt((x**2).sum(1))[:, None], 500) >= 0.99
+
+
+def test_nearest_opens_lists_of_clustered_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(400, 16)), 50, axis=0) + 0.05 * rng.normal(size=(20_000, 16))
+    assert _recall(spark, x, 100) >= 0.99
+
+
+def test_nearest_ties_go_to_smaller_ids(spark):
+    x = np.concatenate((np.eye(64), 2 * np.eye(64), 3 * np.eye(64)))
+    got = nearest.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>"), every=100)
+    assert sorted((r["rank"], r["vec_id"]) for r in got.collect() if r["query_id"] == 0)[:5] == [(1, 128), (2, 64), (3, 1), (4, 2), (5, 3)]
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     dense = np.where(rng.random((500, 40)) < 0.2, rng.random((500, 40)), 0.0)
