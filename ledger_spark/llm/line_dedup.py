@@ -77,7 +77,8 @@ def _candidates(described: DataFrame, percent: int) -> DataFrame:
     n = F.size("codes")
     prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
     row = F.struct("id", "line_no", n.alias("n"), *[_parity(F.col("codes"), i).alias(f"bits{i}") for i in range(2)], prefix.alias("prefix"))
-    sets = described.groupBy("k1", "k2").agg(F.min(row).alias("r"))
+    joined = described.filter(100 * n >= percent * (n + 1))  # smaller sets are similar to equal ones only
+    sets = joined.groupBy("k1", "k2").agg(F.min(row).alias("r"))
     words = sets.select("k1", F.col("r.n").alias("n"), "r.bits0", "r.bits1", F.posexplode("r.prefix").alias("at", "code"))
     both, left = F.col("x.n") + F.col("y.n"), F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     differ = sum((F.bit_count(F.col(f"x.bits{i}").bitwiseXOR(F.col(f"y.bits{i}"))) for i in range(2)), F.lit(0))
@@ -97,7 +98,8 @@ def repeated_lines(
 
     A line is its set of lower-case words; two are similar when 100 * intersection >= ``percent`` *
     union. Lines are ordered by (id, line number); a line goes if any earlier line of the table is
-    similar to it. Lines of fewer than ``least_words`` different words always stay, as blank ones do.
+    similar to it. Lines of fewer than ``least_words`` different words always stay, as blank ones do; the
+    report and the removal below take lines of any word.
     Line numbers count from 0 in the text split at ``\\n``. Rows that repeat an id with its text are one
     document; rows with a null id come first, under the smallest id; a null text is one empty line; an
     empty table gives an empty result. Other columns are not read.
@@ -131,7 +133,7 @@ def _removed(docs: DataFrame, percent: int, least_words: int, id_column: str, te
 
 
 def line_report(
-    docs: DataFrame, *, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *, percent: int = PERCENT, least_words: int = 1, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed: numbers of the removed lines joined by commas) of each row."""
     id_ = F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID))
@@ -145,7 +147,7 @@ def line_report(
 
 
 def remove_repeated_lines(
-    docs: DataFrame, *, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *, percent: int = PERCENT, least_words: int = 1, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``docs`` without the repeated lines; all rows and other columns stay, a null text stays null."""
     keyed = docs.withColumn("_id", F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)))

@@ -123,6 +123,26 @@ def test_repeated_lines(docs):
     assert after.columns == docs.columns and after.count() == docs.count()
 
 
+def _plain_lines(texts, percent=80):
+    """Lines (text number, line number) similar to an earlier one, of any number of words."""
+    lines = {(i, k): frozenset(WORD.findall(line.lower())) for i, t in enumerate(texts) for k, line in enumerate((t or "").split("\n"))}
+    return {
+        b for a, b in itertools.permutations(lines, 2)
+        if a < b and lines[a] and lines[b] and 100 * len(lines[a] & lines[b]) >= percent * len(lines[a] | lines[b])
+    }
+
+
+def test_short_lines_are_removed(spark):
+    texts = ["Home\nSign in\none two three four\n\nonly here", "sign IN\none two three four five\n\nHome", "in sign\nfive four three\nhome home", "a b c d\na b c"]
+    gone = _plain_lines(texts)
+    assert len(gone) == 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    report = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(docs).collect()}
+    assert {(i, int(k)) for i, ks in report.items() for k in ks.split(",") if k} == gone
+    kept = {i: "\n".join(line for k, line in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in enumerate(texts)}
+    assert dict(texts_of(line_dedup.remove_repeated_lines(docs))) == kept
+
+
 def test_packing(docs):
     got = packing.pack(packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), window=64, with_ids=True), window=64).collect()
     from tokenizers import Tokenizer
