@@ -15,12 +15,16 @@ _BROADCAST_LINES = 1_000_000  # some 40 MB
 _NO_ID = -(2**63)
 
 
+def _key(id_column: str, text_column: str) -> tuple[Column, Column]:
+    """What a document is known by: its id and a key of its text, as rows may share an id or have none."""
+    return F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)), F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+
+
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, line_no, line) of all texts."""
+    """(id, tk, line_no, line) of all texts."""
+    id_, tk = _key(id_column, text_column)
     text = F.coalesce(F.col(text_column), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")
-    )
+    return docs.select(id_.alias("id"), tk.alias("tk"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
 
 
 def _rarity_levels(docs: DataFrame, text_column: str) -> list[list[int]]:
@@ -56,7 +60,7 @@ def _codes(line: Column, levels: list[list[int]]) -> Column:
 
 def _described(lines: DataFrame, levels: list[list[int]], least_words: int) -> DataFrame:
     """Lines with enough words: their codes and a 128-bit key of the set."""
-    coded = lines.select("id", "line_no", _codes(F.col("line"), levels).alias("codes")).filter(F.size("codes") >= least_words)
+    coded = lines.select("id", "tk", "line_no", _codes(F.col("line"), levels).alias("codes")).filter(F.size("codes") >= least_words)
     return coded.withColumns({"k1": F.xxhash64("codes"), "k2": F.xxhash64(F.lit(1), F.col("codes"))})
 
 
@@ -76,7 +80,7 @@ def _candidates(described: DataFrame, percent: int) -> DataFrame:
     """
     n = F.size("codes")
     prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
-    row = F.struct("id", "line_no", n.alias("n"), *[_parity(F.col("codes"), i).alias(f"bits{i}") for i in range(2)], prefix.alias("prefix"))
+    row = F.struct("id", "tk", "line_no", n.alias("n"), *[_parity(F.col("codes"), i).alias(f"bits{i}") for i in range(2)], prefix.alias("prefix"))
     joined = described.filter(100 * n >= percent * (n + 1))  # smaller sets are similar to equal ones only
     sets = joined.groupBy("k1", "k2").agg(F.min(row).alias("r"))
     words = sets.select("k1", F.col("r.n").alias("n"), "r.bits0", "r.bits1", F.posexplode("r.prefix").alias("at", "code"))
@@ -98,22 +102,28 @@ def repeated_lines(
 
     A line is its set of lower-case words; two are similar when 100 * intersection >= ``percent`` *
     union. Lines are ordered by (id, line number); a line goes if any earlier line of the table is
-    similar to it. Lines of fewer than ``least_words`` different words always stay, as blank ones do; the
+    similar to it. Different texts under one id, or without id, are documents of their own, ordered by a
+    hash of the text, and their rows here cannot be told apart. Lines of fewer than ``least_words`` different words always stay, as blank ones do; the
     report and the removal below take lines of any word.
     Line numbers count from 0 in the text split at ``\\n``. Rows that repeat an id with its text are one
-    document; rows with a null id come first, under the smallest id; a null text is one empty line; an
+    document, also those with a null id, which come first, under the smallest id; a null text is one empty line; an
     empty table gives an empty result. Other columns are not read.
     """
+    return _repeated(docs, percent, least_words, id_column, text_column).select("id", "line_no")
+
+
+def _repeated(docs: DataFrame, percent: int, least_words: int, id_column: str, text_column: str) -> DataFrame:
+    """(id, tk, line_no) of the lines to remove."""
     levels = _rarity_levels(docs, text_column)
     described = _described(_lines(docs, id_column, text_column), levels, least_words)
     pairs = stage(_candidates(described, percent), "line-pairs")
-    keys = stage(described.select("id", "line_no", "k1", "k2"), "line-keys")
-    firsts = keys.groupBy("k1", "k2").agg(F.min(F.struct("id", "line_no")).alias("first"), F.count("*").alias("n"))
+    keys = stage(described.select("id", "tk", "line_no", "k1", "k2"), "line-keys")
+    firsts = keys.groupBy("k1", "k2").agg(F.min(F.struct("id", "tk", "line_no")).alias("first"), F.count("*").alias("n"))
 
     in_pairs = pairs.select(F.col("a").alias("k1")).unionByName(pairs.select(F.col("b").alias("k1"))).distinct()
-    ends = stage(firsts.join(in_pairs, "k1", "left_semi").select("k1", "first", F.col("first.id").alias("id"), F.col("first.line_no").alias("line_no")), "line-ends")
+    ends = stage(firsts.join(in_pairs, "k1", "left_semi").select("k1", "first", F.col("first.id").alias("id"), F.col("first.tk").alias("tk"), F.col("first.line_no").alias("line_no")), "line-ends")
     few = ends.count() <= _BROADCAST_LINES  # the plan only: beyond it the lines are shuffled
-    some = _lines(docs, id_column, text_column).join(F.broadcast(ends) if few else ends, ["id", "line_no"])
+    some = _lines(docs, id_column, text_column).join(F.broadcast(ends) if few else ends, ["id", "tk", "line_no"])
     sets = stage(some.select("k1", "first", _codes(F.col("line"), levels).alias("codes")).dropDuplicates(["k1", "first"]), "line-sets")
     x, y = sets.toDF("a", "first_a", "codes_a"), sets.toDF("b", "first_b", "codes_b")
     shared = F.size(F.array_intersect("codes_a", "codes_b"))
@@ -123,23 +133,23 @@ def repeated_lines(
     # a set goes as a whole when its first line has an earlier match, and all but its first line otherwise
     doomed = firsts.join(later, "first", "left").filter("later OR n > 1").select("k1", "k2", "first", "later")
     return keys.join(doomed, ["k1", "k2"]).filter(
-        F.col("later").isNotNull() | (F.struct("id", "line_no") > F.col("first"))
-    ).select("id", "line_no")
+        F.col("later").isNotNull() | (F.struct("id", "tk", "line_no") > F.col("first"))
+    ).select("id", "tk", "line_no")
 
 
 def _removed(docs: DataFrame, percent: int, least_words: int, id_column: str, text_column: str) -> DataFrame:
-    lines = repeated_lines(docs, percent=percent, least_words=least_words, id_column=id_column, text_column=text_column)
-    return lines.groupBy("id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).withColumnRenamed("id", "_id")
+    lines = _repeated(docs, percent, least_words, id_column, text_column)
+    return lines.groupBy(F.col("id").alias("_id"), F.col("tk").alias("_tk")).agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 
 def line_report(
     docs: DataFrame, *, percent: int = PERCENT, least_words: int = 1, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed: numbers of the removed lines joined by commas) of each row."""
-    id_ = F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID))
+    id_, tk = _key(id_column, text_column)
     n_lines = F.size(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n", -1)).cast("bigint")
-    rows = docs.select(F.col(id_column).alias("doc_id"), id_.alias("_id"), n_lines.alias("n_lines"))
-    out = rows.join(_removed(docs, percent, least_words, id_column, text_column), "_id", "left")
+    rows = docs.select(F.col(id_column).alias("doc_id"), id_.alias("_id"), tk.alias("_tk"), n_lines.alias("n_lines"))
+    out = rows.join(_removed(docs, percent, least_words, id_column, text_column), ["_id", "_tk"], "left")
     return out.select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"),
@@ -150,8 +160,9 @@ def remove_repeated_lines(
     docs: DataFrame, *, percent: int = PERCENT, least_words: int = 1, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``docs`` without the repeated lines; all rows and other columns stay, a null text stays null."""
-    keyed = docs.withColumn("_id", F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)))
+    id_, tk = _key(id_column, text_column)
+    keyed = docs.withColumns({"_id": id_, "_tk": tk})
     removed = _removed(docs, percent, least_words, id_column, text_column).withColumnRenamed("removed", "_removed")
     kept = F.filter(F.split(text_column, "\n", -1), lambda _, i: ~F.array_contains("_removed", i))
     text = F.when(F.col("_removed").isNull(), F.col(text_column)).otherwise(F.array_join(kept, "\n"))
-    return keyed.join(removed, "_id", "left").withColumn(text_column, text).select(*docs.columns)
+    return keyed.join(removed, ["_id", "_tk"], "left").withColumn(text_column, text).select(*docs.columns)

@@ -143,6 +143,20 @@ def test_short_lines_are_removed(spark):
     assert dict(texts_of(line_dedup.remove_repeated_lines(docs))) == kept
 
 
+def test_lines_of_texts_that_share_an_id_or_have_none(spark):
+    seven = "seven plain words stand on this line"
+    rows = [
+        (None, f"head of one text alone here\n{seven}\ntail of the first text only"),
+        (None, f"begin another text with these words\n{seven}\nunlike any other line in here"),
+        (3, f"{seven} now\nsome words said under the third id"), (3, "quite different words under that id\nand yet more of these unlike words"),
+    ]
+    after = collections.Counter(texts_of(line_dedup.remove_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))))
+    first = {(None, rows[k][1]) for k in range(2)} & set(after)
+    assert len(first) == 1  # the line stays in one of the two
+    (other,) = [r for r in rows[:2] if r not in first]
+    assert after == collections.Counter([*first, (None, other[1].replace(seven + "\n", "")), (3, "some words said under the third id"), rows[3]])
+
+
 def test_packing(docs):
     got = packing.pack(packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), window=64, with_ids=True), window=64).collect()
     from tokenizers import Tokenizer
