@@ -36,3 +36,41 @@ FROM judged
 """
 
 QUALITY = QUALITY_OF.replace("{docs}", "documents").replace("{stop}", _STOP)
+
+#: Phrases by plain counting of all word sequences and all cuts.
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), places AS (
+    SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM split
+), grams AS (
+    SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, m, count(*) AS f
+    FROM places, range(1, 6) AS r(m) WHERE i + m - 1 <= len(ws) GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE m = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, phrase, m, f AS a FROM grams WHERE m > 1 AND f >= 100
+), inside AS (
+    SELECT DISTINCT c.lang, array_to_string(list_slice(string_split(c.phrase, ' '), b, b + k - 1), ' ') AS phrase, c.a AS longer
+    FROM candidates c, range(2, 5) AS s(k), range(1, 5) AS t(b) WHERE k < c.m AND b + k - 1 <= c.m
+), kept AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.longer >= 100 * c.a)
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS first,
+        array_to_string(list_slice(string_split(phrase, ' '), k + 1, m), ' ') AS rest
+    FROM kept, range(1, 5) AS r(k) WHERE k < m
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f))::BIGINT AS score,
+        row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f), k) AS nth
+    FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.first AND x.m = k
+        JOIN grams y ON y.lang = c.lang AND y.phrase = c.rest AND y.m = len(string_split(c.phrase, ' ')) - k JOIN totals t ON t.lang = c.lang
+), ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM scored WHERE nth = 1
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""

@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, near_dedup, nearest, packing, pieces, quality_rules, repeats, sharding, toxicity, warc
+from . import collocations, id_files, line_dedup, near_dedup, nearest, packing, pieces, quality_rules, repeats, sharding, toxicity, warc, whitening
 from .common import read_table
-from .oracle import QUALITY
+from .oracle import COLLOCATIONS, QUALITY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,13 +61,25 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, folder, "documents"))
+
+
+def op12_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return id_files.id_file_report(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitening_report(read_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_sentencepiece, op2_warc, op3_suffix_array_dedup, op4_quality_rules, op5_line_dedup, op6_nearest, op7_minhash,
-        op8_packing, op9_toxicity, op10_sharding,
+        op8_packing, op9_toxicity, op10_sharding, op11_collocations, op12_id_files, op13_whitening,
     )
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": QUALITY}
+    return {"op4_quality_rules": QUALITY, "op11_collocations": COLLOCATIONS}
