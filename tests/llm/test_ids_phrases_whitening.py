@@ -23,7 +23,7 @@ LONG = " ".join(f"Ab{i % 7} cd{i % 11} ef" for i in range(6_000))
 TEXTS = [
     (1, None, "en"), (2, "", "en"), (3, " \t\n ,;", None), (4, "New York, new york! NEW\tYORK x É é", "en"), (5, "a a a a a a", "fr"),
     (5, "a a a a a a", "fr"), (6, LONG, "en"), (None, "new york new", "en"), (None, "other words", None), (7, "new york new york.", None),
-    (8, "<|endoftext|> it's 12345 naïve 漢字 don't", "de"), (-3, "one", "en"),
+    (8, "<|endoftext|> it's 12345 naïve 漢字 don't", "de"), (9, "<|ENDOFTEXT|>. a<|endoftext|>b., $%x,y.!?  o'S. 's, ²., İx. Σας, e\u0301. [a]", "de"), (-3, "one", "en"),
 ]
 
 
