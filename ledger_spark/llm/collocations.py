@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,8 @@ from .fm_index import BidirectionalIndex
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
 SPACES = r"[\x20\x09]+"
 NO_LANGUAGE = "und"
-_SHARD_WORDS = 1_000_000
+_SHARD_WORDS = 500_000
+_BLOCK_WORDS = 1_500_000  # one task sums a block of the phrases of a length, which are at most as many as words
 _HELD_WORDS = 4 * _SHARD_WORDS
 _ROWS_A_STEP = 512
 
@@ -25,6 +27,8 @@ _SHARDS = pa.schema([
     ("shard", pa.int64()), ("lang", pa.string()), ("sign", pa.int64()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
     ("counts", pa.list_(pa.int64())), ("ids", pa.binary()),
 ])
+_PACKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("words", pa.list_(pa.binary())), ("n", pa.binary())])
+_PACKED_DDL = "block bigint, shard bigint, words array<binary>, n binary"
 _SHARDS_DDL = "shard bigint, lang string, sign bigint, n_words bigint, words array<string>, counts array<bigint>, ids binary"
 
 
@@ -91,7 +95,7 @@ def shard_words(docs: DataFrame, *, max_words: int, text_column: str = "text", l
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = TaskContext.get().partitionId() << 32, {}
+        number, held = TaskContext.get().partitionId() << 20, {}
 
         def give(lang: str) -> Iterator[pa.RecordBatch]:
             nonlocal number
@@ -118,37 +122,106 @@ def shard_words(docs: DataFrame, *, max_words: int, text_column: str = "text", l
     return docs.select(*columns).mapInArrow(run, _SHARDS_DDL)
 
 
-def _phrase_texts(words: pa.Array, rows: np.ndarray) -> pa.Array:
-    """Space-joined words of each row of indexes into ``words``."""
-    return pc.binary_join_element_wise(*[words.take(pa.array(column)) for column in rows.T], " ")
+def _squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers, best in rising order, in few bytes: steps, first all their highest bytes, then the next."""
+    steps = np.diff(np.asarray(values, np.int64), prepend=0)
+    return zlib.compress(steps.astype(">i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
-def _join_rows(table: pa.Table, name: str) -> pa.Array:
-    return pa.concat_arrays(table.column(name).chunks) if table.num_rows else pa.array([], table.schema.field(name).type)
+def _expand(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T.copy().view(">i8").ravel().astype(np.int64))
 
 
-def _count_pairs(shard: pa.Table, frequent: pa.Table) -> pa.Table:
-    """Word pairs of one shard that consist of frequent words, and how often each occurs there."""
-    columns: list = [pa.array([], t) for t in (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())]
-    if shard.num_rows and frequent.num_rows:
-        ids = np.frombuffer(shard.column("ids")[0].as_py(), "<i4")
-        word_id, word = frequent.column("word_id").to_numpy(), _join_rows(frequent, "word")
-        place = np.zeros(int(max(ids.max(), word_id.max())) + 1, np.int64)
-        place[word_id] = np.arange(1, len(word_id) + 1)
-        pairs = BidirectionalIndex(place[ids], 2).phrases()[-1]
-        rows, n = pairs.words - 1, len(pairs.size)
-        sign = shard.column("sign")[0].as_py()
-        columns = [
-            pa.array(np.full(n, shard.column("shard")[0].as_py()), pa.int64()), pa.array([shard.column("lang")[0].as_py()]).take(pa.array(np.zeros(n, np.int32))),
-            pa.array(word_id[rows[:, 0]], pa.int32()), pa.array(word_id[rows[:, 1]], pa.int32()), _phrase_texts(word, rows), pa.array(sign * pairs.size, pa.int64()),
-        ]
-    return pa.table(columns, names=["shard", "lang", "a", "b", "phrase", "n"])
+def _packed(phrases: np.ndarray, words: np.ndarray, counts: np.ndarray, shard: int, blocks: int) -> Iterator[tuple]:
+    """Rows (block, shard, words, n) of one shard's ``phrases`` (rows of places in ``words``), all of one length.
+
+    Where a phrase goes depends on its words alone, so a block meets all counts of its phrases.
+    """
+    m = phrases.shape[1]
+    order = np.lexsort(phrases.T[:3][::-1])
+    columns, counts = words[phrases[order].T], counts[order]
+    mixed = np.zeros(len(order), np.uint64)
+    for column in columns:
+        mixed = (mixed ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    block = ((mixed >> np.uint64(20)) % np.uint64(blocks)).astype(np.int64)
+    by_block = np.argsort(block, kind="stable")
+    for some in np.split(by_block, np.flatnonzero(np.diff(block[by_block])) + 1):
+        if len(some):
+            yield int(block[some[0]]) + m * blocks, shard, [_squeeze(c[some]) for c in columns], _squeeze(counts[some])
+
+
+def _words_of(shard: pa.Table, listed: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The shard's text as places (from 1) in its list of frequent words, and that list in the order of the words' numbers."""
+    ids = np.frombuffer(shard.column("ids")[0].as_py(), "<i4")
+    listed = listed.sort_by("word")
+    word_id = listed.column("word_id").to_numpy()
+    place = np.zeros(int(max(ids.max(), word_id.max())) + 1, np.int64)
+    place[word_id] = np.arange(1, len(word_id) + 1)
+    return place[ids], listed.column("word").to_numpy()
+
+
+def _count_pairs(blocks: int):
+    def run(shard: pa.Table, listed: pa.Table) -> pa.Table:
+        """Pairs of frequent words of one shard, and how often each occurs there."""
+        rows: list[tuple] = []
+        if shard.num_rows and listed.num_rows:
+            text, words = _words_of(shard, listed)
+            pairs = next(BidirectionalIndex(text, 2).phrases(least=2))
+            sign = shard.column("sign")[0].as_py()
+            rows += _packed(pairs.words - 1, words, sign * pairs.size, shard.column("shard")[0].as_py(), blocks)
+        return _rows(rows)
+
+    return run
+
+
+def _sum_blocks(min_count: int, tell_shards: bool):
+    def run(rows: pa.Table) -> pa.Table:
+        """Sums a block of phrases over all shards: one row of those that are frequent and their sums, with shard -1.
+
+        With ``tell_shards`` each shard also gets a row of those of its own that are frequent.
+        """
+        own = [([_expand(c) for c in words], _expand(n)) for words, n in zip(rows.column("words").to_pylist(), rows.column("n").to_pylist(), strict=True)]
+        columns = [np.concatenate(c) for c in zip(*(words for words, _ in own), strict=True)]
+        key = np.zeros(len(columns[0]), np.int64)
+        for column in columns:
+            _, rank = np.unique(column, return_inverse=True)
+            _, key = np.unique((key << 32) | rank, return_inverse=True)
+        sums = np.zeros(int(key.max()) + 1, np.int64)
+        np.add.at(sums, key, np.concatenate([n for _, n in own]))
+        first = np.empty(len(sums), np.int64)
+        first[key[::-1]] = np.arange(len(key))[::-1]
+        enough = sums >= min_count
+        out = [(None, -1, [_squeeze(c[first][enough]) for c in columns], _squeeze(sums[enough]))]
+        at = 0
+        for shard, (_, n) in zip(rows.column("shard").to_pylist(), own, strict=True) if tell_shards else ():
+            keep = np.flatnonzero(enough[key[at : at + len(n)]]) + at
+            at += len(n)
+            if len(keep):
+                out.append((None, shard, [_squeeze(c[keep]) for c in columns], None))
+        return _rows(out)
+
+    return run
+
+
+def _rows(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [()] * len(_PACKED)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _PACKED, strict=True)], schema=_PACKED)
+
+
+def _phrase_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed phrases and sums as rows (phrase, f)."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            phrases = np.column_stack([_expand(c) for c in row["words"]])
+            n, m = phrases.shape
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * m + 1, m), pa.int32()), pa.array(phrases.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([lists, pa.array(_expand(row["n"]), pa.int64())], ["phrase", "f"])
 
 
 def _keep_runs(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``ids`` without the words that are in no pair (a, b), and 0 wherever two neighbours are no such pair."""
-    ids = ids.astype(np.int64)
-    allowed = np.sort((a.astype(np.int64) << 32) | b)
+    allowed = np.sort((a << 32) | b)
     key = (ids[:-1] << 32) | ids[1:]
     at = np.minimum(np.searchsorted(allowed, key), len(allowed) - 1)
     linked = np.concatenate(([False], allowed[at] == key, [False]))
@@ -158,28 +231,18 @@ def _keep_runs(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.insert(kept, np.flatnonzero(cut[keep]), 0)
 
 
-def _count_longer(max_words: int):
-    def run(shard: pa.Table, pairs: pa.Table) -> pa.Table:
+def _count_longer(max_words: int, blocks: int):
+    def run(shard: pa.Table, lists: pa.Table) -> pa.Table:
         """Phrases of three words and more that consist of frequent pairs, and how often each occurs in the shard."""
-        langs, phrases, lengths, counts = [], [], [], []
-        if shard.num_rows and pairs.num_rows:
-            a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
-            text = pc.split_pattern(_join_rows(pairs, "phrase"), " ").flatten()  # two words a pair
-            used, first = np.unique(np.column_stack((a, b)).ravel(), return_index=True)
-            words = text.take(pa.array(first))
-            runs = _keep_runs(np.frombuffer(shard.column("ids")[0].as_py(), "<i4"), a, b)
-            place = np.searchsorted(used, runs) + 1
-            place[runs == 0] = 0
-            sign, lang = shard.column("sign")[0].as_py(), shard.column("lang")[0].as_py()
-            for found in BidirectionalIndex(place, max_words).phrases()[2:]:
-                n = len(found.size)
-                langs.append(pa.array([lang]).take(pa.array(np.zeros(n, np.int32))))
-                phrases.append(_phrase_texts(words, found.words - 1))
-                lengths.append(pa.array(np.full(n, found.words.shape[1]), pa.int32()))
-                counts.append(pa.array(sign * found.size, pa.int64()))
-        kinds = pa.string(), pa.string(), pa.int32(), pa.int64()
-        columns = [pa.chunked_array(c, t).combine_chunks() for c, t in zip((langs, phrases, lengths, counts), kinds, strict=True)]
-        return pa.table(columns, names=["lang", "phrase", "m", "n"])
+        rows: list[tuple] = []
+        pairs = lists.filter(pc.is_valid(lists.column("words"))).column("words").to_pylist()
+        if shard.num_rows and pairs:
+            text, words = _words_of(shard, lists.filter(pc.is_valid(lists.column("word"))))
+            a, b = (np.searchsorted(words, np.concatenate([_expand(part) for part in parts])) + 1 for parts in zip(*pairs, strict=True))
+            sign = shard.column("sign")[0].as_py()
+            for found in BidirectionalIndex(_keep_runs(text, a, b), max_words).phrases(least=3):
+                rows += _packed(found.words - 1, words, sign * found.size, shard.column("shard")[0].as_py(), blocks)
+        return _rows(rows)
 
     return run
 
@@ -195,29 +258,34 @@ def phrase_counts(docs: DataFrame, *, min_count: int = 100, max_words: int = 5,
         raise ValueError("a phrase has two words or more")
     shards = stage(shard_words(docs, max_words=max_words, text_column=text_column, lang_column=lang_column), "shards")
     total = shards.groupBy("lang").agg(F.sum(F.col("sign") * F.col("n_words")).alias("n"))
+    blocks = max(1, -(-(shards.agg(F.sum("n_words")).first()[0] or 0) // _BLOCK_WORDS))
     enough = F.col("f") >= min_count
 
     entry = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry")
     vocabulary = shards.select("shard", "lang", "sign", entry).select(
-        "shard", "lang", (F.col("place") + 1).alias("word_id"), F.col("entry.words").alias("word"), (F.col("sign") * F.col("entry.counts")).alias("n")
-    )
-    words = stage(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(enough), "words")
-    of_shard = vocabulary.join(words.select("lang", "word"), ["lang", "word"]).select(F.col("shard").alias("of"), "word_id", "word")
-    texts = shards.select("shard", "lang", "sign", "ids")
-    pairs = texts.groupBy("shard").cogroup(of_shard.groupBy("of")).applyInArrow(
-        _count_pairs, "shard bigint, lang string, a int, b int, phrase string, n bigint"
-    )
-    pairs = stage(pairs, "pairs")
-    frequent = stage(pairs.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(enough), "frequent-pairs")
-    of_shard = pairs.join(frequent.select("lang", "phrase"), ["lang", "phrase"]).select(F.col("shard").alias("of"), "a", "b", "phrase")
-    longer = texts.groupBy("shard").cogroup(of_shard.groupBy("of")).applyInArrow(
-        _count_longer(max_words), "lang string, phrase string, m int, n bigint"
-    )
-    longer = longer.groupBy("lang", "phrase", "m").agg(F.sum("n").alias("f")).filter(enough)
-    found = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("m"), "f").unionByName(
-        frequent.select("lang", "phrase", F.lit(2).alias("m"), "f")
-    ).unionByName(longer)
-    return stage(found, "phrases"), total
+        F.col("shard").alias("of"), "lang", (F.col("place") + 1).alias("word_id"), F.col("entry.words").alias("text"),
+        (F.col("sign") * F.col("entry.counts")).alias("n"), F.expr("shard << 20 | place").alias("own"),
+    )
+    # one shuffle sums the counts, names a word by its first place and keeps the shards' rows of what is frequent
+    same = Window.partitionBy("lang", "text")
+    listed = vocabulary.withColumns({"f": F.sum("n").over(same), "word": F.min("own").over(same)}).filter(enough)
+    once = F.col("word") == F.col("own")
+    listed = stage(listed.select("of", "word_id", "word", *[F.when(once, F.col(c)).alias(c) for c in ("lang", "text", "f")]), "words")
+    words = listed.filter("text IS NOT NULL").select("word", "lang", "text", "f")
+    texts = shards.select("shard", "sign", "ids").groupBy("shard")
+    of_shard = listed.select("of", "word_id", "word")
+    pairs = texts.cogroup(of_shard.groupBy("of")).applyInArrow(_count_pairs(blocks), _PACKED_DDL)
+    pairs = stage(pairs.groupBy("block").applyInArrow(_sum_blocks(min_count, True), _PACKED_DDL), "pairs")
+    lists = of_shard.unionByName(pairs.filter("shard >= 0").select(F.col("shard").alias("of"), "words"), allowMissingColumns=True)
+    longer = texts.cogroup(lists.groupBy("of")).applyInArrow(_count_longer(max_words, blocks), _PACKED_DDL)
+    longer = longer.groupBy("block").applyInArrow(_sum_blocks(min_count, False), _PACKED_DDL)
+    summed = pairs.filter("shard < 0").select("words", "n").unionByName(longer.select("words", "n"))
+    found = stage(summed.mapInArrow(_phrase_rows, "phrase array<bigint>, f bigint").withColumn("id", F.monotonically_increasing_id()), "phrases")
+    named = found.select("id", "f", F.posexplode("phrase").alias("at", "word")).join(words.select("word", "lang", "text"), "word")
+    spelled = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda w: w["text"]), " ")  # max_words at most
+    named = named.groupBy("id").agg(F.first("lang").alias("lang"), spelled.alias("phrase"), F.count("*").cast("int").alias("m"), F.first("f").alias("f"))
+    single = words.select("lang", F.col("text").alias("phrase"), F.lit(1).alias("m"), "f")
+    return stage(single.unionByName(named.drop("id")), "counts"), total
 
 
 def _part(phrase: Column, words: Column) -> Column:

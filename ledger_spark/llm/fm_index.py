@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -124,10 +125,11 @@ class BidirectionalIndex:
         parent, word, backward, forward, size = self.back.extend(phrases.backward, phrases.forward, phrases.size)
         return Phrases(forward, backward, size, np.column_stack((phrases.words[parent], word)))
 
-    def phrases(self) -> list[Phrases]:
-        """All phrases of 1, 2, ... ``depth`` words, grown on the right and on the left in turn."""
-        levels = [self.single()]
-        while len(levels) < self.depth:
-            grow = self.extend_right if len(levels) % 2 else self.extend_left
-            levels.append(grow(levels[-1]))
-        return levels
+    def phrases(self, least: int = 1) -> Iterator[Phrases]:
+        """All phrases of ``least`` to ``depth`` words, length by length, grown on the right and on the left in turn."""
+        found = self.single()
+        for m in range(1, self.depth + 1):
+            if m > 1:
+                found = self.extend_left(found) if m % 2 else self.extend_right(found)
+            if m >= least:
+                yield found
