@@ -179,14 +179,11 @@ def learn_all_rules(
 def count_rule_matches(transactions: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows of the rule's direction that each merchant or pattern rule matches, labelled or not, any persona.
 
-    Transactions are counted per distinct text first; rules meet those counts only.
+    Rows are counted per text before they meet the rules.
     """
-    key = ["merchant_name_cleaned", "description_cleaned", "transaction_type"]
-    texts = transactions.groupBy(*key).agg(F.count("transaction_id").alias("n"))
-    texts = texts.withColumn("persona_type", F.lit(None).cast("string"))
     index = index_rules(rules, rule_types=("merchant", "pattern"))
     return (
-        match_keys(texts, index, persona=False)
+        match_keys(transactions.filter(F.col("transaction_id").isNotNull()), index, persona=False)
         .groupBy(F.col("r_rule_id").alias("rule_id"))
         .agg(F.sum("n").alias("transaction_count"))
     )

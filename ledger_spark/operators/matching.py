@@ -1,21 +1,22 @@
-"""Matching transactions with rules by one equi-join.
+"""Matching transactions with rules by one equi-join, the same for few rules and for many.
 
 The three ways a rule can match (merchant equals, description equals, description
 contains) are brought to one equi-join on a *probe*:
 
 * a merchant or transaction rule is probed by its identifier,
-* a pattern rule by one of its ``GRAM``-character substrings: the one that fewest
-  other patterns contain. Any description that contains the pattern contains that
-  substring too, so probing with all substrings of a description finds every
-  pattern, and ``contains`` then removes false candidates.
-
-Up to ``SCAN_PATTERNS`` pattern rules it is cheaper to test each of them on a text than
-to look up all its substrings: such rules share one probe, and ``contains`` decides.
+* a pattern rule by one of its ``GRAM``-character substrings, the one that fewest other
+  patterns contain, together with the place of that substring in the pattern. A
+  description is probed with the substring at each of its positions. One that meets a
+  pattern's substring says where the pattern would have to begin, and the pair counts if
+  the pattern's first occurrence begins there: no pair is found twice or tested for
+  containment elsewhere.
 
 A probe carries its kind as a prefix, so the join has two keys: probe and direction.
 
-Transactions come in as distinct match keys, so a text that occurs in a third of
-all rows is probed once.
+The probes of all rules make a Bloom filter, a bit array of bounded size that every task
+reads. Rows are probed where they are scanned and only probes that pass the filter leave
+the task, grouped by match key first. So a row that no rule can match is not shuffled at
+all, and a text that occurs in a third of all rows is joined once.
 """
 
 from __future__ import annotations
@@ -30,12 +31,13 @@ from ..functions.text import substrings
 from .update import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 
 GRAM = 4
-SCAN_PATTERNS = 500
 ANY_TYPE = "All"
-ANY_PATTERN = "pattern"
 MATCH_KEY = ("merchant_name_cleaned", "description_cleaned", "persona_type", "transaction_type")
 # A row without a direction matches nothing; the other parts of its key may be NULL.
 NULLABLE_KEY = MATCH_KEY[:3]
+# The filter has a 64-bit word for each four probes, three bits a probe, and 8 MB at most: beyond that it only lets more pass.
+PROBES_PER_WORD = 4
+MAX_FILTER_WORDS = 1 << 20
 
 _RULE_COLUMNS = (
     "rule_id", "rule_type", "identifier", "transaction_type", "persona_type", "category_l1", "category_l2",
@@ -45,28 +47,42 @@ _RULE_COLUMNS = (
 
 @dataclass(frozen=True)
 class RuleIndex:
-    """Rules with their probe, how patterns are probed, and the measured size class.
-
-    ``gram_sizes`` are the substring lengths to look up; ``scan`` says that all patterns
-    share one probe instead.
-    """
+    """Rules with their probe, the substring lengths to look up, the filter's size and the measured size class."""
 
     rules: DataFrame
     gram_sizes: tuple[int, ...]
-    scan: bool
+    filter_words: int
     fits_broadcast: bool
     rule_types: tuple[str, ...]
 
     def for_join(self) -> DataFrame:
         return F.broadcast(self.rules) if self.fits_broadcast else self.rules
 
+    def _place(self, probe: Column, direction: Column) -> tuple[Column, Column]:
+        """Word of the filter and bits in it for a probe."""
+        code = F.xxhash64(probe, direction)
+        one = F.lit(1).cast("bigint")
+        bits = [F.call_function("shiftleft", one, F.shiftrightunsigned(code, n).cast("int") % 32) for n in (33, 38)]
+        high = F.call_function("shiftleft", one, F.lit(32) + F.shiftrightunsigned(code, 43).cast("int") % 32)
+        return code.bitwiseAND(F.lit(self.filter_words - 1)).cast("int"), bits[0].bitwiseOR(bits[1]).bitwiseOR(high)
+
+    def may_match(self, probe: Column, direction: Column) -> Column:
+        """False only if no rule has this probe. The filter is a scalar subquery: built once, sent to every task."""
+        word, bits = self._place(F.col("r_probe"), F.col("r_transaction_type"))
+        found = self.rules.select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        every = self.rules.sparkSession.range(self.filter_words).select(F.col("id").cast("int").alias("word"))
+        dense = every.join(found, "word", "left").select(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")).alias("entry"))
+        words = dense.agg(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["bits"])).scalar()
+        word, bits = self._place(probe, direction)
+        return F.get(words, word).bitwiseAND(bits) == bits
+
 
 def _tagged(kind: Column, text: Column) -> Column:
     return F.concat(kind, F.lit(":"), text)
 
 
 def _rarest_grams(patterns: DataFrame) -> DataFrame:
-    """One probe per pattern: the substring shared with the fewest other patterns."""
+    """One probe per pattern: the substring shared with the fewest other patterns, and where it first occurs."""
     identifier = F.col("r_identifier")
     grams = patterns.select(
         "r_identifier",
@@ -79,6 +95,7 @@ def _rarest_grams(patterns: DataFrame) -> DataFrame:
         grams.join(frequency, "gram")
         .groupBy(F.col("r_identifier").alias("pattern"))
         .agg(F.min_by("gram", F.struct("n_patterns", "gram")).alias("pattern_gram"))
+        .withColumn("r_offset", F.instr(F.col("pattern"), F.col("pattern_gram")) - 1)
     )
 
 
@@ -96,12 +113,10 @@ def index_rules(rules: DataFrame, rule_types: tuple[str, ...] = ("merchant", "pa
     size = usable.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(text_bytes + 64).alias("bytes"),
-        F.count_if(is_pattern).alias("n_patterns"),
         F.collect_set(F.when(is_pattern, F.least(F.length("r_identifier"), F.lit(GRAM)))).alias("gram_sizes"),
     ).first()
     small = size["n"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
-    scan = small and 0 < size["n_patterns"] <= SCAN_PATTERNS
-    gram_sizes = () if scan else tuple(sorted(size["gram_sizes"]))
+    words = 1 << max(4, (size["n"] // PROBES_PER_WORD).bit_length())
 
     if best_per_key:
         key = ["r_identifier", "r_rule_type", "r_transaction_type", "r_persona_type"]
@@ -112,26 +127,21 @@ def index_rules(rules: DataFrame, rule_types: tuple[str, ...] = ("merchant", "pa
             .agg(F.min_by(F.struct(*rest), F.struct(*rank)).alias("best"))
             .select(*key, *[F.col("best").getField(c).alias(c) for c in rest])
         )
-    identifier_probe = _tagged(F.col("r_rule_type"), F.col("r_identifier"))
-    if gram_sizes:
-        patterns = usable.filter(is_pattern).select("r_identifier").distinct()
-        usable = usable.join(
-            _rarest_grams(patterns), is_pattern & (F.col("r_identifier") == F.col("pattern")), "left"
-        )
-        gram = F.col("pattern_gram")
-        pattern_probe = _tagged(F.concat(F.lit("pattern"), F.length(gram).cast("string")), gram)
-    else:
-        pattern_probe = F.lit(ANY_PATTERN)
-    probed = usable.withColumn("r_probe", F.when(is_pattern, pattern_probe).otherwise(identifier_probe))
-    return RuleIndex(probed.drop("pattern", "pattern_gram"), gram_sizes, scan, small, rule_types)
+    patterns = usable.filter(is_pattern).select("r_identifier").distinct()
+    usable = usable.join(_rarest_grams(patterns), is_pattern & (F.col("r_identifier") == F.col("pattern")), "left")
+    gram = F.col("pattern_gram")
+    probe = F.when(is_pattern, _tagged(F.concat(F.lit("pattern"), F.length(gram).cast("string")), gram)).otherwise(
+        _tagged(F.col("r_rule_type"), F.col("r_identifier"))
+    )
+    probed = usable.withColumn("r_probe", probe).drop("pattern", "pattern_gram")
+    return RuleIndex(probed, tuple(sorted(size["gram_sizes"])), min(words, MAX_FILTER_WORDS), small, rule_types)
 
 
-def _with_probes(keys: DataFrame, index: RuleIndex) -> DataFrame:
-    """One row per match key and probe.
+def _with_probes(rows: DataFrame, index: RuleIndex) -> DataFrame:
+    """One row per row and probe, with the position of a substring in the description (1 for whole texts).
 
     Position 0 carries the whole texts, position i the substrings that start at the
-    i-th character. A substring that occurs earlier in the description is skipped, so
-    each probe appears once. Only built-in functions with generated code are used.
+    i-th character. Only built-in functions with generated code are used.
     """
     merchant, description = F.col("merchant_name_cleaned"), F.col("description_cleaned")
     position = F.col("probe_position")
@@ -140,54 +150,67 @@ def _with_probes(keys: DataFrame, index: RuleIndex) -> DataFrame:
         whole.append(_tagged(F.lit("merchant"), merchant))
     if "transaction" in index.rule_types:
         whole.append(_tagged(F.lit("transaction"), description))
-    if index.scan:
-        whole.append(F.when(description.isNotNull(), F.lit(ANY_PATTERN)))
     if 0 in index.gram_sizes:
         whole.append(F.when(description.isNotNull(), F.lit("pattern0:")))
     sizes = [n for n in index.gram_sizes if n > 0]
     if not sizes:
-        return keys.withColumn("probe", F.explode(F.array(*whole)))
+        return rows.select("*", F.lit(1).alias("probe_position"), F.explode(F.array(*whole)).alias("probe"))
     parts = []
     for n in sizes:
         gram = F.substring(description, position, F.lit(n))
-        fits = position <= F.length(description) - F.lit(n - 1)
-        parts.append(
-            F.when(fits & (F.instr(description, gram) == position), _tagged(F.lit(f"pattern{n}"), gram))
-        )
+        parts.append(F.when(position <= F.length(description) - F.lit(n - 1), _tagged(F.lit(f"pattern{n}"), gram)))
     last = F.coalesce(F.length(description), F.lit(0))
     return (
-        keys.withColumn("probe_position", F.explode(F.sequence(F.lit(0), last)))
+        rows.withColumn("probe_position", F.explode(F.sequence(F.lit(0), last)))
         .withColumn("probe", F.explode(F.when(position == 0, F.array(*whole)).otherwise(F.array(*parts))))
-        .drop("probe_position")
+        .withColumn("probe_position", F.greatest(position, F.lit(1)))
     )
 
 
-def match_keys(keys: DataFrame, index: RuleIndex, *, persona: bool = True, all_matches_any: bool = False) -> DataFrame:
-    """Join match keys with every rule that applies to them. Output: key columns and ``r_*`` rule columns.
-
-    A rule applies when its text matches, its direction equals the row's, and (with
-    ``persona``) its persona is NULL or equals the row's. Rules for ``All`` directions
-    fire only with ``all_matches_any``.
-    """
+def candidate_probes(rows: DataFrame, index: RuleIndex, *, all_matches_any: bool = False) -> DataFrame:
+    """The probes of ``rows`` that some rule may have: a projection of the scanned rows, without a shuffle."""
     direction = F.col("transaction_type")
-    probed = _with_probes(keys, index)
+    probed = _with_probes(rows.filter(direction.isNotNull()), index).filter("probe IS NOT NULL")
     if all_matches_any:
         probed = probed.withColumn("probe_type", F.explode(F.array(direction, F.lit(ANY_TYPE))))
     else:
         probed = probed.withColumn("probe_type", direction)
+    return probed.filter(index.may_match(F.col("probe"), F.col("probe_type")))
+
+
+def match_keys(rows: DataFrame, index: RuleIndex, *, persona: bool = True, all_matches_any: bool = False) -> DataFrame:
+    """Every rule that applies to a match key of ``rows``, once. Output: key columns, their number of rows ``n`` and ``r_*``.
+
+    A rule applies when its text matches, its direction equals the row's, and (with
+    ``persona``) its persona is NULL or equals the row's; without it, keys have no persona.
+    Rules for ``All`` directions fire only with ``all_matches_any``.
+    """
+    key = [c for c in MATCH_KEY if persona or c != "persona_type"]
+    candidates = candidate_probes(rows.select(*key), index, all_matches_any=all_matches_any)
+    candidates = candidates.groupBy(*key, "probe", "probe_type", "probe_position").agg(F.count(F.lit(1)).alias("n"))
+    begins = F.instr(F.col("description_cleaned"), F.col("r_identifier"))
     applies = (
         (F.col("probe") == F.col("r_probe"))
         & (F.col("probe_type") == F.col("r_transaction_type"))
-        & (
-            (F.col("r_rule_type") != "pattern")
-            | F.col("description_cleaned").contains(F.col("r_identifier"))
-        )
+        & ((F.col("r_rule_type") != "pattern") | (begins == F.col("probe_position") - F.col("r_offset")))
     )
     if persona:
         applies = applies & (
             F.col("r_persona_type").isNull() | (F.col("r_persona_type") == F.col("persona_type"))
         )
-    return probed.join(index.for_join(), applies).drop("probe", "probe_type")
+    return candidates.join(index.for_join(), applies).drop("probe", "probe_type", "probe_position", "r_offset")
+
+
+def probe_report(rows: DataFrame, index: RuleIndex) -> DataFrame:
+    """One row: n_rows, n_texts with a direction, n_probes of all rows, n_shuffled that passed the filter, n_joined after grouping."""
+    key = list(MATCH_KEY)
+    open_rows = rows.select(*key).filter(F.col("transaction_type").isNotNull())
+    texts = open_rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.struct(*key)).alias("n_texts"))
+    probes = _with_probes(open_rows, index).filter("probe IS NOT NULL").agg(F.count(F.lit(1)).alias("n_probes"))
+    kept = candidate_probes(open_rows, index)
+    kept = kept.agg(F.count(F.lit(1)).alias("n_shuffled"), F.count_distinct(F.struct(*key, "probe", "probe_position")).alias("n_joined"))
+    one = F.lit(1).alias("one")
+    return texts.select("*", one).join(probes.select("*", one), "one").join(kept.select("*", one), "one").drop("one")
 
 
 def match_rank() -> list[Column]:
@@ -198,4 +221,6 @@ def match_rank() -> list[Column]:
     ]
 
 
-__all__ = ["MATCH_KEY", "NULLABLE_KEY", "RuleIndex", "index_rules", "match_keys", "match_rank"]
+__all__ = [
+    "MATCH_KEY", "NULLABLE_KEY", "RuleIndex", "candidate_probes", "index_rules", "match_keys", "match_rank", "probe_report",
+]

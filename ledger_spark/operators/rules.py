@@ -23,7 +23,7 @@ def match_rules(transactions: DataFrame, rules: DataFrame, *, all_matches_any: b
     """
     open_rows = transactions.filter(F.col("category_l1").isNull()).select("transaction_id", *MATCH_KEY)
     index = index_rules(rules.filter(F.col("is_active")))
-    pairs = match_keys(open_rows.select(*MATCH_KEY).distinct(), index, all_matches_any=all_matches_any)
+    pairs = match_keys(open_rows, index, all_matches_any=all_matches_any)
     renamed = pairs.select(
         *[F.col(c).alias(f"k_{c}") for c in MATCH_KEY],
         *[F.col(c) for c in pairs.columns if c.startswith("r_") and c != "r_probe"],
@@ -44,9 +44,9 @@ def match_rules(transactions: DataFrame, rules: DataFrame, *, all_matches_any: b
 
 def winning_rules(transactions: DataFrame, rules: DataFrame, *, all_matches_any: bool = False) -> DataFrame:
     """The one rule that labels each distinct match key of the open rows."""
-    open_keys = transactions.filter(F.col("category_l1").isNull()).select(*MATCH_KEY).distinct()
+    open_rows = transactions.filter(F.col("category_l1").isNull())
     index = index_rules(rules.filter(F.col("is_active")), best_per_key=True)
-    matched = match_keys(open_keys, index, all_matches_any=all_matches_any)
+    matched = match_keys(open_rows, index, all_matches_any=all_matches_any)
     winner = F.struct(
         F.col("r_category_l1").alias("category_l1"),
         F.col("r_category_l2").alias("category_l2"),

@@ -217,6 +217,10 @@ def match_rules_query(t: DataFrame, r: DataFrame) -> DataFrame:
     )
 
 
+def _on_many_patterns(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: build(fixtures.transactions(spark, folder), fixtures.rules_with_patterns(spark, folder))
+
+
 def rule_conflicts_query(spark: SparkSession, folder: str) -> DataFrame:
     return engine.rule_conflicts(fixtures.rules(spark, folder)).withColumn(
         "last_updated_timestamp", ts("last_updated_timestamp")
@@ -414,6 +418,9 @@ def queries() -> dict[str, Query]:
         ),
         # rule engine
         "match_rules": _on_both(match_rules_query),
+        "match_many_patterns": _on_many_patterns(match_rules_query),
+        "apply_many_patterns": _on_many_patterns(lambda t, r: labels_of(engine.apply_rules(t, r, AS_OF()))),
+        "backfill_many_patterns": _on_many_patterns(lambda t, r: rules_of(learning.backfill_rule_scores(t, r))),
         "apply_rules": _on_both(lambda t, r: labels_of(engine.apply_rules(t, r, AS_OF()))),
         "rule_hits_by_type": _on_both(lambda t, r: engine.rule_hits_by_type(engine.apply_rules(t, r, AS_OF()))),
         "rule_conflicts": rule_conflicts_query,

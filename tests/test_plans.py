@@ -10,6 +10,7 @@ from ledger_spark.operators.lifecycle import apply_fallback
 from ledger_spark.operators.recurring import recurring_candidates, transaction_intervals
 from ledger_spark.operators.rules import apply_rules
 from ledger_spark.plans.registry import queries
+from ledger_spark.schema import RULES_SCHEMA
 from ledger_spark.sources import fixtures
 
 
@@ -32,6 +33,52 @@ def test_no_product_join_and_no_python(spark, small_folder, name, capsys):
         assert node not in plan
 
 
+def pattern_rules(spark, n):
+    """``n`` pattern rules: word and number, such as 'shop 123 paid'."""
+    i = F.col("id")
+    text = {"rule_id": F.concat(F.lit("R"), i.cast("string")), "identifier": F.concat(F.lit("shop "), i.cast("string"), F.lit(" paid"))}
+    fixed = {"rule_type": "pattern", "transaction_type": "Debit", "category_l1": "Expense", "category_l2": "Medical", "confidence_score": 50,
+             "is_active": True}
+    return spark.range(n).select(*[
+        (text.get(f.name) if f.name in text else F.lit(fixed.get(f.name))).cast(f.dataType).alias(f.name) for f in RULES_SCHEMA.fields
+    ])
+
+
+def report_rows(rows, n):
+    """Rows whose number in 'shop <number> paid' is one of the ``n`` patterns."""
+    return rows.filter(F.regexp_extract("description_cleaned", r"shop (\d+) paid", 1).cast("int") < n).count()
+
+
+@pytest.mark.parametrize("n", [10, 10_000, 300_000])
+def test_matching_has_one_plan_for_all_sizes(spark, n):
+    """Probes meet the filter before any shuffle, and a text brings few more probes than it has matches."""
+    number = F.length("merchant_name_cleaned").cast("string")
+    rows = hot_rows(spark).withColumn("description_cleaned", F.concat(F.lit("card shop "), number, F.lit(" paid at noon")))
+    rules = pattern_rules(spark, n)
+    index = matching.index_rules(rules)
+    frame = matching.match_keys(rows, index)
+    before_shuffle = executed(matching.candidate_probes(rows, index))
+    assert "Generate" in before_shuffle and "Exchange" not in before_shuffle.split("Subquery")[0]
+    for node in ("Cartesian", "NestedLoop", "Python"):
+        assert node not in executed(frame)
+    joins = [line for line in frame._jdf.queryExecution().analyzed().toString().splitlines() if "Join Inner" in line and "probe" in line]
+    hints = frame._jdf.queryExecution().optimizedPlan().toString().count("rightHint=(strategy=broadcast)")
+    assert len(joins) == 1 and hints == (n <= matching.MAX_BROADCAST_ROWS)
+    assert frame.agg(F.sum("n")).first()[0] == report_rows(rows, n)
+    report = matching.probe_report(rows, index).first()
+    assert report["n_probes"] > 20 * report["n_rows"]
+    assert report["n_shuffled"] <= 3 * report["n_rows"] and report["n_joined"] <= 3 * report["n_texts"]
+
+
+def test_rows_without_a_matching_rule_are_not_shuffled(spark):
+    index = matching.index_rules(pattern_rules(spark, 10_000))
+    letters = F.translate("description_cleaned", "0123456789", "abcdefghij")  # shares no substring with a pattern
+    rows = hot_rows(spark).withColumn("description_cleaned", letters)
+    report = matching.probe_report(rows, index).first()
+    assert report["n_rows"] == 60_000 and report["n_shuffled"] < 0.03 * report["n_probes"]
+    assert matching.match_keys(rows, index).count() == 0
+
+
 def test_projections_do_not_shuffle(spark, small_folder, as_of, capsys):
     rows = fixtures.transactions(spark, small_folder)
     assert "Exchange" not in plan_of(apply_fallback(cleanse_transactions(rows), as_of), capsys)

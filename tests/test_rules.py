@@ -82,16 +82,17 @@ SOME = settings(max_examples=10, deadline=None, suppress_health_check=list(Healt
 
 @SOME
 @given(st.lists(TRANSACTION, min_size=5, max_size=30), st.lists(RULE, min_size=3, max_size=30),
-       st.sampled_from([(200_000, 500), (200_000, 0), (0, 500)]))
+       st.sampled_from([(200_000, 1 << 20), (0, 1 << 20), (200_000, 1)]))
 def test_matching_equals_the_definition(make_transactions, make_rules, as_of, transactions, rules, limits):
+    """With rules broadcast and shuffled, and with a filter so small that it lets everything pass."""
     transactions = [{**t, "transaction_id": f"T{i:04d}"} for i, t in enumerate(transactions)]
     rules = [{**r, "rule_id": f"R{i:04d}"} for i, r in enumerate(rules)]
     t_frame, r_frame = make_transactions(*transactions), make_rules(*rules)
     active = [r for r in rules if r["is_active"]]
     open_rows = [t for t in transactions if t["category_l1"] is None]
 
-    before = matching.MAX_BROADCAST_ROWS, matching.SCAN_PATTERNS
-    matching.MAX_BROADCAST_ROWS, matching.SCAN_PATTERNS = limits
+    before = matching.MAX_BROADCAST_ROWS, matching.MAX_FILTER_WORDS
+    matching.MAX_BROADCAST_ROWS, matching.MAX_FILTER_WORDS = limits
     try:
         pairs = sorted((p.transaction_id, p.rule_id) for p in match_rules(t_frame, r_frame).collect())
         assert pairs == sorted((t["transaction_id"], r["rule_id"]) for t in open_rows for r in active if applies(t, r))
@@ -100,7 +101,7 @@ def test_matching_equals_the_definition(make_transactions, make_rules, as_of, tr
         labelled = by_id(apply_rules(t_frame, r_frame, as_of, observation=seen), "rule_id", "is_recurring")
         counts = by_id(count_rule_matches(t_frame, r_frame), "transaction_count", key="rule_id")
     finally:
-        matching.MAX_BROADCAST_ROWS, matching.SCAN_PATTERNS = before
+        matching.MAX_BROADCAST_ROWS, matching.MAX_FILTER_WORDS = before
 
     hits = 0
     for t in transactions:
