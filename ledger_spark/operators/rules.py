@@ -247,20 +247,21 @@ def upsert_user_rules(
     )
 
 
-def rule_insert(rule_type: Column, score: Column, as_of: Column, *id_labels: str) -> dict[str, Column]:
-    """Columns of a new rule, over a source that carries the key and label columns."""
+def rule_insert(rule_type: Column, score: Column, as_of: Column, *id_labels: str, label: Column | None = None) -> dict[str, Column]:
+    """Columns of a new rule, over a source that carries the key and, unless ``label`` is a struct of them, the label columns."""
+    of_label = (lambda c: F.col(c)) if label is None else (lambda c: label[c])
     return {
         "rule_id": stable_rule_id(
             rule_type, F.col("identifier"), F.col("transaction_type"), F.col("persona_type"),
-            *[F.col(c) for c in id_labels],
+            *[of_label(c) for c in id_labels],
         ),
         "rule_type": rule_type,
         "identifier": F.col("identifier"),
         "transaction_type": F.col("transaction_type"),
         "persona_type": F.col("persona_type"),
-        "category_l1": F.col("category_l1"),
-        "category_l2": F.col("category_l2"),
-        "is_recurring_rule": F.col("is_recurring_rule"),
+        "category_l1": of_label("category_l1"),
+        "category_l2": of_label("category_l2"),
+        "is_recurring_rule": of_label("is_recurring_rule"),
         "confidence_score": score,
         "created_timestamp": as_of,
         "last_updated_timestamp": as_of,

@@ -6,7 +6,7 @@ Parquet tables have no in-place MERGE, so a matched update is a left join plus
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_KEY, _NEW, _COUNT, _HIT = "__key_", "__new_", "__n", "__hit"
+_KEY, _NEW, _COUNT, _HIT, _KNOWN, _ROWS = "__key_", "__new_", "__n", "__hit", "__known", "__rows"
 
 
 def new(column: str) -> Column:
@@ -131,28 +131,47 @@ def keyed_upsert(
     source: DataFrame,
     *,
     on: Sequence[str],
-    insert: Mapping[str, Column],
+    insert: Mapping[str, Column] | Column,
     assign: Mapping[str, Column] | None = None,
     when: Column | None = None,
     null_safe: Sequence[str] = (),
     observations: tuple[Observation, Observation] | None = None,
+    on_change: Callable[[DataFrame, Column, Column], DataFrame] | None = None,
 ) -> DataFrame:
-    """Update matched target rows (if ``assign`` is given) and append unmatched source rows.
+    """Update matched target rows (if ``assign`` is given) and add rows for unmatched source rows, in one full outer join.
 
-    Keys of the update side must be unique in ``source``. ``insert`` gives each target
-    column as an expression over source columns.
+    A key may occur once in ``source``. ``insert`` gives each target column as an expression over
+    source columns, or an array of such rows where a source row may add several. Target rows that
+    share a key are all updated.
+
+    ``observations`` report ``affected`` updates and inserts. ``on_change`` gets the joined frame, the
+    column that says whether a row is updated, and the number of rows it adds, and may observe them.
     """
-    updated = target
-    if assign is not None:
-        updated = keyed_update(
-            target, source, on=on, assign=assign, when=when, null_safe=null_safe, on_duplicate="unique",
-            small_source=False, observation=observations[0] if observations else None,
-        )
-    known = target.select(*[F.col(k).alias(_KEY + k) for k in on]).distinct()
-    unmatched = source.join(
-        known, key_condition({k: F.col(k) for k in on}, {k: F.col(_KEY + k) for k in on}, null_safe), "left_anti"
-    )
+    fields = target.schema.fields
+    if not isinstance(insert, Column):
+        insert = F.array(F.struct(*[insert[f.name].cast(f.dataType).alias(f.name) for f in fields]))
+    keys = [F.col(k).alias(_KEY + k) for k in on]
+    values = [F.col(c).alias(_NEW + c) for c in source.columns if c not in on]
+    lookup = source.select(*keys, *values, insert.alias(_ROWS), F.lit(1).alias(_COUNT))
+    matches = key_condition({k: F.col(k) for k in on}, {k: F.col(_KEY + k) for k in on}, null_safe)
+    joined = target.withColumn(_KNOWN, F.lit(True)).join(lookup, matches, "full_outer")
+
+    known = F.col(_KNOWN).isNotNull()
+    hit = known & F.col(_COUNT).isNotNull() if assign is not None else F.lit(False)
+    if when is not None:
+        hit = hit & F.coalesce(when, F.lit(False))
+    joined = joined.withColumn(_HIT, hit)
+    added = F.when(known, 0).otherwise(F.size(_ROWS))
     if observations:
-        unmatched = unmatched.observe(observations[1], F.count(F.lit(1)).alias("affected"))
-    inserted = unmatched.select(*[insert[f.name].cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    return updated.unionByName(inserted)
+        joined = joined.observe(observations[0], F.count_if(F.col(_HIT)).alias("affected"))
+        joined = joined.observe(observations[1], F.coalesce(F.sum(added), F.lit(0)).alias("affected"))
+    if on_change:
+        joined = on_change(joined, F.col(_HIT), added)
+    assign = assign or {}
+    kept = F.struct(
+        *[
+            (F.when(F.col(_HIT), assign[f.name].cast(f.dataType)).otherwise(F.col(f.name)) if f.name in assign else F.col(f.name)).alias(f.name)
+            for f in fields
+        ]
+    )
+    return joined.select(F.inline(F.when(known, F.array(kept)).otherwise(F.col(_ROWS))))

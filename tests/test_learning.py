@@ -7,6 +7,7 @@ from ledger_spark.operators.learning import (
     learn_single_merchant_rules,
     learn_transaction_rules,
 )
+from ledger_spark.sources import fixtures
 from ledger_spark.sources.staging import Staging
 
 from .conftest import by_id
@@ -93,3 +94,30 @@ def test_parts_see_each_other(spark, make_transactions, make_rules, as_of):
     assert affected == {"learn-merchant": 1, "learn-transaction": 1, "learn-single-merchant": 0}
     with_patterns = learn_all_rules(rows, make_rules(), as_of, include_patterns=True)
     assert ("pattern", "p") in key_of(with_patterns, "rule_type", "identifier")
+
+
+def test_group_comes_before_single_rows_of_its_key(make_transactions, make_rules, as_of):
+    """Both teach merchant m: the group's rule is there first. In a key without enough rows the single ones count."""
+    rows = make_transactions(*bulk(2), single(category_l2="Groceries"), *bulk(1, "few"), single(merchant_name_cleaned="few"))
+    learned = learn_all_rules(rows, make_rules(), as_of)
+    merchants = learned.filter("rule_type = 'merchant'")
+    assert key_of(merchants, "identifier", "category_l2", "confidence_score") == [("few", "Medical", 95), ("m", "Medical", 0)]
+
+
+def test_parts_in_one_pass_equal_parts_in_turn(spark, small_folder, as_of):
+    rows, rules = fixtures.transactions(spark, small_folder), fixtures.rules(spark, small_folder)
+    in_turn = learn_merchant_rules(rows, rules, as_of)
+    in_turn = learn_transaction_rules(rows, learn_pattern_rules(rows, in_turn, as_of), as_of)
+    in_turn = learn_single_merchant_rules(rows, in_turn, as_of)
+    affected: dict[str, int] = {}
+    staged = learn_all_rules(rows, rules, as_of, include_patterns=True, staging=Staging(spark), affected=affected)
+    for frame in (learn_all_rules(rows, rules, as_of, include_patterns=True), staged):
+        assert sorted(map(str, frame.collect())) == sorted(map(str, in_turn.collect()))
+    assert sum(affected.values()) > 0 and set(affected) == {"learn-merchant", "learn-pattern", "learn-transaction", "learn-single-merchant"}
+
+
+def test_learning_scans_each_table_once(spark, small_folder, as_of):
+    rows, rules = fixtures.transactions(spark, small_folder), fixtures.rules(spark, small_folder)
+    plan = learn_all_rules(rows, rules, as_of, include_patterns=True)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan and "LeftOuter" not in plan

@@ -70,6 +70,35 @@ def test_upsert_inserts_each_unmatched_row(spark, target):
     assert (seen[0].get["affected"], seen[1].get["affected"]) == (1, 1)
 
 
+def test_upsert_of_several_rows_a_key_and_of_none(spark, target):
+    source = spark.createDataFrame([("a", None, [1, 2]), ("n", None, [3, 4]), ("o", None, [])], "k string, p string, ws array<int>")
+    rows = F.transform("ws", lambda w: F.struct(w.alias("id"), F.col("k"), F.col("p"), (w * 10).alias("v")))
+    seen = (Observation(), Observation())
+    frame = keyed_upsert(target, source, on=["k", "p"], null_safe=("p",), insert=rows, observations=seen)
+    assert sorted((r.id, r.v or 0) for r in frame.collect()) == [(1, 10), (2, 0), (3, 30), (3, 30), (4, 40), (4, 40)]
+    assert (seen[0].get["affected"], seen[1].get["affected"]) == (0, 2)
+
+
+def test_upsert_is_one_join(spark, target):
+    source = spark.createDataFrame([("a", None, 7)], "k string, p string, w int")
+    frame = keyed_upsert(
+        target, source, on=["k", "p"], null_safe=("p",), assign={"v": new("w")},
+        insert={"id": F.lit(0), "k": F.col("k"), "p": F.col("p"), "v": F.col("w")},
+    )
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Join FullOuter" in plan and "Aggregate" not in plan
+
+
+def test_upsert_keeps_keys_that_are_null(spark, target):
+    """A null in a key that is not null-safe matches nothing: the target's row stays, the source's is added."""
+    source = spark.createDataFrame([(None, "x", 7)], "k string, p string, w int")
+    frame = keyed_upsert(
+        target, source, on=["k", "p"], null_safe=("p",), assign={"v": new("w")},
+        insert={"id": F.lit(0), "k": F.col("k"), "p": F.col("p"), "v": F.col("w")},
+    )
+    assert {(r.id, r.k, r.v) for r in frame.collect()} == {(1, "a", 10), (2, "a", None), (3, "b", 30), (4, None, 40), (0, None, 7)}
+
+
 def test_broadcast_is_measured(spark):
     rows = spark.range(100).select(F.lit("x" * 50).alias("s"))
     assert fits_broadcast(rows)
