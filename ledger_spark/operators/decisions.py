@@ -1,7 +1,8 @@
 """Labeller decisions: JSON payloads in, validated frames out, labels applied.
 
 Payloads are parsed with VARIANT, element by element, so one odd element does not
-spoil its neighbours and a bare object is not mistaken for a list.
+spoil its neighbours and a bare object is not mistaken for a list. What VARIANT
+refuses though the labellers' JSON allows it is read by a second, permissive path.
 """
 
 from __future__ import annotations
@@ -32,22 +33,39 @@ def unfenced(payload: Column) -> Column:
     return F.trim(F.when(payload.contains(FENCE_OPEN), inside).otherwise(payload), F.lit(" \t\n\r\f"))
 
 
+def _decision_list(payload: Column) -> Column:
+    """The elements of a JSON list as VARIANTs, NULL for any other text.
+
+    VARIANT refuses numbers such as NaN and objects that repeat a key, which the labellers' JSON may
+    hold. A list it refuses is read again by a permissive reader: such a number becomes text, which no
+    check takes for a number, and of a repeated key the last value counts. An element that is still no
+    JSON is NULL.
+    """
+    text = unfenced(payload)
+    listed = text.startswith("[") & text.endswith("]")
+    strict = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    permissive = {"allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
+
+    def last_values(element: Column) -> Column:
+        entries = F.map_entries(F.from_json(element, "map<string,variant>", permissive))
+        kept = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+        return F.coalesce(F.to_variant_object(F.map_from_entries(kept)), F.try_parse_json(element))
+
+    return F.when(listed, F.coalesce(strict, F.transform(F.from_json(text, "array<string>", permissive), last_values)))
+
+
 def parse_decisions(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """One row per element of each JSON list, as VARIANT ``decision`` with its ``position``.
 
     Text that is no JSON list gives no rows. Other columns of ``payloads`` are kept.
     """
     kept = [c for c in payloads.columns if c != column]
-    document = F.try_parse_json(unfenced(F.col(column)))
-    return payloads.select(
-        *kept, F.posexplode(F.try_variant_get(document, "$", "array<variant>")).alias("position", "decision")
-    )
+    return payloads.select(*kept, F.posexplode(_decision_list(F.col(column))).alias("position", "decision"))
 
 
 def unparsable_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """Payloads that give no rows because they are no JSON list."""
-    document = F.try_parse_json(unfenced(F.col(column)))
-    return payloads.filter(F.try_variant_get(document, "$", "array<variant>").isNull())
+    return payloads.filter(_decision_list(F.col(column)).isNull())
 
 
 def _kind(value: Column) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import is_unlabelled
+from ..sources.staging import Staging
 
 
 def status_by_persona(transactions: DataFrame) -> DataFrame:
@@ -85,12 +88,29 @@ REPORTS = {
 }
 
 
-def quality_report(transactions: DataFrame) -> dict[str, DataFrame | Exception]:
-    """All four audits as lazy frames. One that cannot be planned is reported by its error, alone."""
+def quality_report(transactions: DataFrame, staging: Staging) -> dict[str, DataFrame | Exception]:
+    """All four audits, each computed and written by a job of its own.
+
+    One that fails, in planning or while it runs, is reported by its error; the others are tables.
+    """
     report: dict[str, DataFrame | Exception] = {}
     for name, build in REPORTS.items():
         try:
-            report[name] = build(transactions)
+            report[name] = staging.table(build(transactions), name)
         except Exception as problem:  # each audit fails on its own
             report[name] = problem
     return report
+
+
+def report_sizes(transactions: DataFrame, staging: Staging) -> DataFrame:
+    """(report, n_rows, error) of each audit; a failed one has its error's first line and no rows."""
+    rows = []
+    for name, result in quality_report(transactions, staging).items():
+        failed = isinstance(result, Exception)
+        error = (str(result).splitlines() or [type(result).__name__])[0] if failed else None
+        if failed:
+            sizes = transactions.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("n_rows"))
+        else:
+            sizes = result.agg(F.count(F.lit(1)).alias("n_rows"))
+        rows.append(sizes.select(F.lit(name).alias("report"), "n_rows", F.lit(error).cast("string").alias("error")))
+    return reduce(DataFrame.unionByName, rows)

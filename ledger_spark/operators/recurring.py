@@ -9,6 +9,8 @@ days as the calendar allows, whatever its row count.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -111,19 +113,19 @@ def latest_examples(rows: DataFrame, key: tuple[str, ...], order: list[Column],
     )
 
 
-def recurring_candidates(transactions: DataFrame, batch_size: int | None = None,
-                         staging: Staging | None = None) -> DataFrame:
-    """Merchants that may be recurring, with the evidence to decide on.
+# What evidence is made of; all other columns stay behind when rows are staged.
+EVIDENCE_COLUMNS = ("transaction_id", *MERCHANT_KEY, "is_recurring", "transaction_date", "amount", "description_cleaned")
 
-    Evidence: row count, gap histogram, keyword flag, sample deviation and mean of the
-    absolute amount, two latest rows. Keyword merchants first, then the most frequent.
-    ``batch_size`` keeps the first so many. With ``staging`` a limited set of groups
-    is computed once for its three uses.
-    """
-    rows = open_debits(transactions)
+
+def _staged_evidence(transactions: DataFrame, staging: Staging) -> DataFrame:
+    return staging.table(open_debits(transactions).select(*EVIDENCE_COLUMNS), "open-debits")
+
+
+def _candidate_groups(transactions: DataFrame) -> DataFrame:
     mentions = F.lower(F.coalesce("description_cleaned", F.lit(""))).rlike(RECURRING_WORDS)
-    groups = (
-        rows.groupBy(*MERCHANT_KEY)
+    return (
+        open_debits(transactions)
+        .groupBy(*MERCHANT_KEY)
         .agg(
             F.count("transaction_id").alias("transaction_count"),
             F.bool_or(mentions).alias("has_recurring_keywords"),
@@ -132,31 +134,73 @@ def recurring_candidates(transactions: DataFrame, batch_size: int | None = None,
         )
         .filter(F.col("transaction_count") >= MIN_CANDIDATE_ROWS)
     )
-    ranking = [F.desc("has_recurring_keywords"), F.desc("transaction_count"), *[F.asc(c) for c in MERCHANT_KEY]]
-    evidence_rows = transactions
-    if batch_size is not None:
-        groups = groups.orderBy(*ranking).limit(batch_size)
-        groups = staging.table(groups, "candidate-groups") if staging is not None else groups
-        groups = broadcast_limited(groups, batch_size)
-        evidence_rows = transactions.join(groups.select(*MERCHANT_KEY), [*MERCHANT_KEY], "left_semi")
+
+
+def _ranking() -> list[Column]:
+    return [F.desc("has_recurring_keywords"), F.desc("transaction_count"), *[F.asc(c) for c in MERCHANT_KEY]]
+
+
+def _with_evidence(groups: DataFrame, transactions: DataFrame) -> DataFrame:
     examples = latest_examples(
-        open_debits(evidence_rows),
+        open_debits(transactions),
         MERCHANT_KEY,
         [F.desc("transaction_date"), F.asc("transaction_id")],
         ["description_cleaned", "amount", "transaction_date"],
         EXAMPLES_PER_CANDIDATE,
     )
     return (
-        groups.join(interval_histogram(evidence_rows), [*MERCHANT_KEY], "left")
+        groups.join(interval_histogram(transactions), [*MERCHANT_KEY], "left")
         .join(examples, [*MERCHANT_KEY], "left")
         .select(
             *MERCHANT_KEY, "transaction_count", "transaction_intervals_days", "has_recurring_keywords",
             "stddev_amount", "avg_amount", "example_transactions",
         )
-        .orderBy(*ranking)
+        .orderBy(*_ranking())
     )
 
 
+def recurring_candidates(transactions: DataFrame, batch_size: int | None = None,
+                         staging: Staging | None = None) -> DataFrame:
+    """Merchants that may be recurring, with the evidence to decide on.
+
+    Evidence: row count, gap histogram, keyword flag, sample deviation and mean of the
+    absolute amount, two latest rows. Keyword merchants first, then the most frequent.
+    ``batch_size`` keeps the first so many. With ``staging`` the transactions are
+    scanned once, for a narrow table that serves all three kinds of evidence.
+    """
+    rows = transactions if staging is None else _staged_evidence(transactions, staging)
+    groups = _candidate_groups(rows)
+    if batch_size is None:
+        return _with_evidence(groups, rows)
+    return _batch_evidence(groups.orderBy(*_ranking()).limit(batch_size), rows, batch_size, staging, "candidate-groups")
+
+
+def _batch_evidence(groups: DataFrame, rows: DataFrame, batch_size: int, staging: Staging | None, name: str) -> DataFrame:
+    groups = broadcast_limited(staging.table(groups, name) if staging is not None else groups, batch_size)
+    return _with_evidence(groups, rows.join(groups.select(*MERCHANT_KEY), [*MERCHANT_KEY], "left_semi"))
+
+
+def candidate_rounds(transactions: DataFrame, batch_size: int, staging: Staging, max_rounds: int) -> Iterator[DataFrame]:
+    """Batches of ``batch_size`` candidates until none is left; no merchant comes twice, whatever was decided on it.
+
+    Groups are computed once. Keys that were offered are added to a staged table, and each round takes
+    the best groups that are not in it.
+    """
+    rows = _staged_evidence(transactions, staging)
+    groups = staging.table(_candidate_groups(rows), "candidate-groups")
+    offered = staging.path("offered")
+    for number in range(1, max_rounds + 1):
+        left = groups
+        if number > 1:
+            known = groups.sparkSession.read.schema(groups.select(*MERCHANT_KEY).schema).parquet(offered)
+            left = groups.join(known, [*MERCHANT_KEY], "left_anti")
+        batch = staging.table(left.orderBy(*_ranking()).limit(batch_size), f"round-{number}")
+        if batch.isEmpty():
+            return
+        batch.select(*MERCHANT_KEY).write.mode("append").parquet(offered)
+        yield _batch_evidence(batch, rows, batch_size, None, "")
+
+
 def flag_recurring(transactions: DataFrame, flags: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Mark the rows of the given (merchant, direction) pairs as recurring, unless they are already.
 

@@ -7,6 +7,8 @@ with an independent SQL engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from ..functions import clean_description, clean_description_simple, clean_merch
 from ..operators import batches, decisions, enrichment, learning, lifecycle, quality, recurring
 from ..operators import rules as engine
 from ..operators.cleansing import cleanse_transactions
-from ..schema import TRANSACTIONS_SCHEMA, add_missing_columns, prepare_rules_schema
+from ..schema import RULE_KEY, TRANSACTIONS_SCHEMA, add_missing_columns, prepare_rules_schema
 from ..sources import fixtures
 from ..sources.ingest import ingest_json
 from ..sources.staging import Staging
@@ -141,6 +143,34 @@ def row_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return fixtures.transactions_raw(spark, folder).select("transaction_id", payload.alias("payload"))
 
 
+def loose_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads that strict JSON refuses: repeated keys, NaN and Infinity, an end that is missing."""
+    n, row = _number(), F.concat(F.lit('{"transaction_id": "'), F.col("transaction_id"), F.lit('", "category_l2": '))
+    payload = (
+        F.when(n % 4 == 0, F.concat(F.lit("["), row, F.lit('"Groceries", "category_l1": "Income", "llm_confidence_score": 9, "category_l1": "Expense"}]')))
+        .when(n % 4 == 1, F.concat(
+            F.lit("["), row, F.lit('"Shopping", "category_l1": "Expense", "llm_confidence_score": NaN}, 5, "x", '),
+            row, F.lit('"Medical", "category_l1": "Expense", "llm_confidence_score": 7}]'),
+        ))
+        .when(n % 4 == 2, F.concat(
+            F.lit("Sure.\n```json\n["), row,
+            F.lit('null, "category_l1": "Expense", "llm_confidence_score": 8, "note": -Infinity, "category_l2": "Pharmacy", "llm_confidence_score": "6"}]\n```'),
+        ))
+        .otherwise(F.concat(F.lit("["), row, F.lit('"Groceries", "category_l1": "Expense", "llm_confidence_score": NaN}, {')))
+    )
+    return fixtures.transactions_raw(spark, folder).select(payload.alias("payload"))
+
+
+def answer_conflicts(batch: DataFrame) -> DataFrame:
+    """A stand-in that keeps the rule with the largest id of each key and answers rule by rule."""
+    key = [F.coalesce(c, F.lit("")).alias(c) for c in RULE_KEY]
+    kept = batch.groupBy(*key).agg(F.max("rule_id").alias("keep")).withColumnsRenamed({c: f"k_{c}" for c in RULE_KEY})
+    same = reduce(and_, [F.coalesce(c, F.lit("")) == F.col(f"k_{c}") for c in RULE_KEY])
+    others = batch.join(kept, same).filter("rule_id <> keep")
+    body = F.to_json(F.struct(F.col("keep").alias("rule_to_keep"), F.array("rule_id").alias("rules_to_deactivate")))
+    return others.select(F.when(F.length("rule_id") % 2 == 0, body).otherwise(F.concat(F.lit("```json\n"), body, F.lit("\n```"))).alias("payload"))
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -254,6 +284,17 @@ def upsert_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def answered_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    rules = fixtures.rules(spark, folder)
+    answers = decisions.parse_conflict_answers(answer_conflicts(engine.rule_conflicts(rules)))
+    return rules_of(engine.deactivate_rules(rules, answers, AS_OF()))
+
+
+def checked_user_rules(spark: SparkSession, folder: str) -> DataFrame:
+    checked = engine.check_user_rules(user_rules(spark, folder))
+    return checked.select("identifier", "rule_type", "transaction_type", "category_l2", "problem")
+
+
 def confidence_query(t: DataFrame) -> DataFrame:
     groups = t.groupBy("merchant_name_cleaned", "persona_type").agg(F.count("transaction_id").alias("n"))
     return groups.withColumn("score", confidence_score(F.col("n")))
@@ -266,7 +307,7 @@ def intervals_query(t: DataFrame) -> DataFrame:
 
 
 def candidates_query(t: DataFrame) -> DataFrame:
-    return recurring.recurring_candidates(t).select(
+    return recurring.recurring_candidates(t, None, Staging(t.sparkSession)).select(
         "merchant_name_cleaned",
         "transaction_type",
         "transaction_count",
@@ -282,7 +323,7 @@ def candidates_query(t: DataFrame) -> DataFrame:
 
 
 def flag_query(t: DataFrame) -> DataFrame:
-    candidates = recurring.recurring_candidates(t, batch_size=None)
+    candidates = recurring.recurring_candidates(t, None, Staging(t.sparkSession))
     flags = decided(label_recurring(candidates), decisions.validate_recurring_decisions)
     return labels_of(recurring.flag_recurring(t, flags))
 
@@ -394,6 +435,7 @@ def queries() -> dict[str, Query]:
             lambda t: quality.direction_mismatch(t).withColumn("amount", cents(F.col("amount")))
         ),
         "dq_inconsistent_recurring": _on_transactions(dq_inconsistent_recurring),
+        "dq_report_sizes": lambda s, d: quality.report_sizes(fixtures.transactions(s, d), Staging(s)),
         "reset_labels": _on_transactions(
             lambda t: lifecycle.reset_labels(t, confirm=True).select(
                 "transaction_id", "description_cleaned", "merchant_name_cleaned", "category_l1", "category_l2",
@@ -426,6 +468,8 @@ def queries() -> dict[str, Query]:
         "rule_conflicts": rule_conflicts_query,
         "resolve_rule_conflicts": _on_rules(lambda r: engine.resolve_rule_conflicts(r, AS_OF())),
         "deactivate_rules": _on_rules(deactivate_query),
+        "answer_rule_conflicts": answered_conflicts,
+        "check_user_rules": checked_user_rules,
         "upsert_user_rules": upsert_query,
         "confidence_score": _on_transactions(confidence_query),
         "learn_merchant_rules": _on_both(lambda t, r: rules_of(learning.learn_merchant_rules(t, r, AS_OF()))),
@@ -454,6 +498,12 @@ def queries() -> dict[str, Query]:
         ),
         # decisions
         "parse_decisions": parse_query,
+        "parse_loose_decisions": lambda s, d: decisions.validate_transaction_decisions(
+            decisions.parse_decisions(loose_payloads(s, d))
+        ),
+        "unparsable_payloads": lambda s, d: decisions.unparsable_payloads(loose_payloads(s, d).unionByName(
+            row_payloads(s, d).select("payload")
+        )),
         "valid_categories": _on_transactions(valid_categories_query),
         "validate_transaction_decisions": lambda s, d: decisions.validate_transaction_decisions(
             decisions.parse_decisions(row_payloads(s, d))
@@ -497,6 +547,7 @@ def queries() -> dict[str, Query]:
                 "transaction_id", "category_l2", "merchant_name_raw", "merchant_name_cleaned"
             )
         ),
+        "count_incomplete": _on_incoming(enrichment.count_incomplete),
         "enrich_incoming": _on_incoming(
             lambda i: enrichment.enrich_incoming(i).select(
                 "transaction_id", "category_l1", "category_l2", "transaction_type",

@@ -9,11 +9,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 
 from ..operators.batches import merchant_batch, pattern_batch, transaction_batch
-from ..operators.cleansing import cleanse_transactions, needs_cleansing
+from ..operators.cleansing import cleanse_transactions
 from ..operators.decisions import (
     apply_merchant_decisions,
     apply_pattern_decisions,
     apply_transaction_decisions,
+    parse_conflict_answers,
     parse_decisions,
     validate_merchant_decisions,
     validate_pattern_decisions,
@@ -23,12 +24,13 @@ from ..operators.decisions import (
 from ..operators.learning import learn_all_rules
 from ..operators.lifecycle import apply_fallback
 from ..operators.recurring import (
+    candidate_rounds,
     flag_recurring,
     harmonize_recurring,
     recurring_candidates,
     trusted_recurring_labels,
 )
-from ..operators.rules import apply_rules, resolve_rule_conflicts
+from ..operators.rules import apply_rules, deactivate_rules, resolve_rule_conflicts, rule_conflicts
 from ..schema import is_unlabelled, prepare_rules_schema, prepare_transactions_schema
 from ..sources.staging import Staging
 
@@ -38,12 +40,17 @@ Labeller = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Labellers:
-    """Where decisions come from, per kind of batch; a missing one skips its step."""
+    """Where decisions come from, per kind of batch; a missing one skips its step.
+
+    ``conflicts`` gets the conflicting rules, one per row, and answers which to deactivate; without it
+    the best rule of each key stays.
+    """
 
     merchants: Labeller | None = None
     patterns: Labeller | None = None
     transactions: Labeller | None = None
     recurring: Labeller | None = None
+    conflicts: Labeller | None = None
 
 
 @dataclass
@@ -77,6 +84,13 @@ class _Run:
         self.affected[name] = observation.get["affected"]
         return table
 
+    def split(self, name: str, change: Callable[[Observation], DataFrame]) -> tuple[DataFrame, DataFrame]:
+        """As ``step``, written apart: the rows that are still open, and the settled ones."""
+        observation = Observation()
+        tables = self.staging.split(change(observation), name, is_unlabelled())
+        self.affected[name] = observation.get["affected"]
+        return tables
+
     def decisions(self, name: str, labeller: Labeller, batch: DataFrame,
                   validate: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Ask the labeller once per batch and write its valid decisions."""
@@ -84,6 +98,15 @@ class _Run:
         return self.staging.table(validate(parse_decisions(payloads)), f"{name}-decisions")
 
 
+def resolve_conflicts(run: _Run, rules: DataFrame, as_of: Column, labeller: Labeller | None) -> DataFrame:
+    """Rules without conflicts: by rank, or by the answers of ``labeller`` to the conflicting rules."""
+    if labeller is None:
+        return run.step("conflicts", lambda seen: resolve_rule_conflicts(rules, as_of, seen))
+    payloads = labeller(run.staging.table(rule_conflicts(rules), "conflicts-batch")).select("payload")
+    answers = run.staging.table(parse_conflict_answers(payloads), "conflicts-answers")
+    return run.step("conflicts", lambda seen: deactivate_rules(rules, answers, as_of, seen))
+
+
 def run_categorization(
     transactions: DataFrame,
     rules: DataFrame,
@@ -94,30 +117,22 @@ def run_categorization(
     batch_size: int | None = None,
     include_patterns: bool = False,
     on_duplicate: str = "error",
-    count_cleansed: bool = False,
 ) -> WorkflowResult:
     """Prepare, resolve conflicts, cleanse, apply rules, label by decisions, learn, fall back.
 
     Every labelling step is one pass over all groups; ``batch_size`` limits it to the
-    most frequent ones. The table is written once, after the rules; each later step
-    rewrites only the rows that are still open, and settled rows stay where they are.
-    ``count_cleansed`` spends a scan of two columns on the number of cleansed rows.
+    most frequent ones. The raw rows are read and cleansed once and written in two
+    partitions, open and settled. Each later step reads the open partition of the step
+    before and rewrites only that; settled rows stay where they are.
     """
     run = _Run(staging or Staging(transactions.sparkSession))
-    prepared = prepare_transactions_schema(transactions)
-    rules = run.step("conflicts", lambda seen: resolve_rule_conflicts(prepare_rules_schema(rules), as_of, seen))
-
-    if count_cleansed:
-        run.affected["cleanse"] = prepared.filter(needs_cleansing()).count()
-    cleansed = cleanse_transactions(prepared)
-    settled: list[DataFrame] = []
-    written = run.step("rules", lambda seen: apply_rules(cleansed, rules, as_of, staging=run.staging, observation=seen))
+    rules = resolve_conflicts(run, prepare_rules_schema(rules), as_of, labellers.conflicts)
 
-    def set_aside(table: DataFrame) -> DataFrame:
-        settled.append(table.filter(~is_unlabelled()))
-        return table.filter(is_unlabelled())
-
-    open_rows = set_aside(written)
+    prepared = prepare_transactions_schema(transactions)
+    open_rows, done = run.split("cleanse", lambda seen: cleanse_transactions(prepared, seen))
+    settled = [done]
+    open_rows, done = run.split("rules", lambda seen: apply_rules(open_rows, rules, as_of, staging=run.staging, observation=seen))
+    settled.append(done)
     rounds = [
         ("merchants", labellers.merchants, merchant_batch, validate_merchant_decisions, apply_merchant_decisions),
         ("patterns", labellers.patterns, pattern_batch, validate_pattern_decisions, apply_pattern_decisions),
@@ -128,10 +143,11 @@ def run_categorization(
         if labeller is None:
             continue
         found = run.decisions(name, labeller, batch(open_rows, batch_size), validate)
-        open_rows = set_aside(run.step(
+        open_rows, done = run.split(
             name,
             lambda seen: apply(open_rows, found, as_of, on_duplicate=on_duplicate, observation=seen),  # noqa: B023
-        ))
+        )
+        settled.append(done)
 
     def together(last: DataFrame) -> DataFrame:
         return reduce(DataFrame.unionByName, settled, last)
@@ -152,15 +168,27 @@ def run_recurring(
     *,
     staging: Staging | None = None,
     batch_size: int | None = None,
+    max_rounds: int = 50,
 ) -> WorkflowResult:
     """Find recurring merchants, flag their rows by the labeller's decisions, then harmonise labels.
 
-    Only batches, decisions and trusted labels are written; when these are small, both
-    updates are broadcast joins over one scan.
+    With ``batch_size`` the labeller is asked in rounds, most promising merchants first, until none is
+    left or ``max_rounds`` are over; no merchant is offered twice. Only batches, decisions and trusted
+    labels are written; when these are small, both updates are broadcast joins over one scan.
     """
     run = _Run(staging or Staging(transactions.sparkSession))
-    found = run.decisions("recurring", labeller, recurring_candidates(transactions, batch_size, run.staging),
-                          validate_recurring_decisions)
+    if batch_size is None:
+        found = run.decisions("recurring", labeller, recurring_candidates(transactions, None, run.staging),
+                              validate_recurring_decisions)
+    else:
+        answers = [
+            run.decisions(f"recurring-{n}", labeller, batch, validate_recurring_decisions)
+            for n, batch in enumerate(candidate_rounds(transactions, batch_size, run.staging, max_rounds), 1)
+        ]
+        run.affected["rounds"] = len(answers)
+        if not answers:
+            return WorkflowResult(transactions, None, run.affected)
+        found = reduce(DataFrame.unionByName, answers)
     flags, labels = Observation(), Observation()
     trusted = run.staging.table(trusted_recurring_labels(flag_recurring(transactions, found)), "trusted-labels")
     flagged = flag_recurring(transactions, found, flags)

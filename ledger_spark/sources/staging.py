@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+_HOLDS = "__holds"
 CHECKPOINT_DIR_SETTING = "spark.checkpoint.dir"
 
 
@@ -27,6 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at ``path`` to the end."""
+    files, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
 class Staging:
     """Writes frames below one run folder and reads them back."""
 
@@ -42,5 +57,23 @@ class Staging:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a frame over the written table."""
         path = self.path(name)
-        df.write.mode("errorifexists").parquet(path)
+        self._write(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def split(self, df: DataFrame, name: str, condition: Column) -> tuple[DataFrame, DataFrame]:
+        """Write ``df`` once, partitioned by ``condition``; the rows where it holds and the others, each read alone.
+
+        A step that needs one of the two opens only that partition's files.
+        """
+        path = self.path(name)
+        self._write(df.withColumn(_HOLDS, F.coalesce(condition, F.lit(False))), path, [_HOLDS])
+        read = self.spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_HOLDS, T.BooleanType())])).parquet(path)
+        return read.filter(F.col(_HOLDS)).drop(_HOLDS), read.filter(~F.col(_HOLDS)).drop(_HOLDS)
+
+    def _write(self, df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
+        df.write.mode("errorifexists").partitionBy(*partitions).parquet(path)
+
+    def delete(self) -> None:
+        """Remove all tables of this run. Frames over them can no longer be read."""
+        files, folder = _file_system(self.spark, self.folder)
+        files.delete(folder, True)

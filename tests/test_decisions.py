@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from ledger_spark.operators import decisions
 from ledger_spark.operators.batches import MERCHANT_GROUP
 from ledger_spark.operators.decisions import (
     apply_merchant_decisions,
@@ -169,3 +170,17 @@ def test_transaction_decisions(spark, make_transactions, as_of, payloads):
 def test_merchant_validation_uses_the_group_key(payloads):
     rows = payloads('[{"merchant_name_cleaned": "m"}]')
     assert validate_merchant_decisions(parse_decisions(rows)).columns == [*MERCHANT_GROUP, "category_l1", "category_l2"]
+
+
+def test_json_that_is_refused_at_first(spark):
+    texts = [
+        '[{"a": NaN, "b": "x"}, {"a": 1, "a": "two", "c": null}, 5, "s", [1]]', '[{"a": 1.50, "b": true, "a": null}]', '{"a": 1, "a": 2}',
+        '[{"a": NaN}, {', "['x']", '[{"a": nan}]', "[NaN] x", '```json\n[{"a": -Infinity}]\n```',
+    ]
+    payloads = spark.createDataFrame(list(enumerate(texts)), "n int, payload string")
+    parsed = decisions.parse_decisions(payloads).select("n", "position", F.to_json("decision").alias("j")).collect()
+    assert sorted(map(tuple, parsed), key=lambda r: r[:2]) == [
+        (0, 0, '{"a":"NaN","b":"x"}'), (0, 1, '{"a":"two","c":null}'), (0, 2, "5"), (0, 3, None), (0, 4, "[1]"),
+        (1, 0, '{"a":null,"b":true}'), (7, 0, '{"a":"-Infinity"}'),
+    ]
+    assert {r.n for r in decisions.unparsable_payloads(payloads).collect()} == {2, 3, 4, 5, 6}

@@ -64,13 +64,36 @@ def test_schema_preparation_is_idempotent(spark, make_transactions, make_rules):
 def test_quality_report_isolates_failures(spark):
     columns = [c for c in TRANSACTION_DEFAULTS if c != "is_recurring"]
     rows = spark.createDataFrame([tuple(None for _ in columns)], ", ".join(f"{c} string" for c in columns))
-    report = quality.quality_report(rows.withColumn("transaction_id", F.lit("T")))
+    report = quality.quality_report(rows.withColumn("transaction_id", F.lit("T")), Staging(spark))
     assert isinstance(report["inconsistent_recurring"], Exception)
     assert report["status_by_persona"].collect()[0].asDict() == {
         "persona": "Unknown", "category": "Uncategorized", "transaction_count": 1
     }
 
 
+def test_quality_report_survives_a_report_that_fails_while_it_runs(spark, make_transactions):
+    """The error comes from a value, so planning succeeds."""
+    rows = make_transactions({"amount": 1.0, "category_l1": "Expense", "category_l2": "Medical"}, {})
+    broken = rows.withColumn("amount", F.when(F.col("amount") > 0, F.raise_error(F.lit("no such amount")).cast("double")).otherwise(F.col("amount")))
+    report = quality.quality_report(broken, Staging(spark))
+    assert "no such amount" in str(report["direction_mismatch"]) and isinstance(report["direction_mismatch"], Exception)
+    assert {name for name, result in report.items() if not isinstance(result, Exception)} == set(quality.REPORTS) - {"direction_mismatch"}
+    assert report["missing_labels"].first().transaction_count == 1
+    sizes = {r.report: (r.n_rows, r.error) for r in quality.report_sizes(broken, Staging(spark)).collect()}
+    assert sizes["direction_mismatch"][0] is None and sizes["direction_mismatch"][1] and sizes["status_by_persona"] == (2, None)
+
+
+def test_adhoc_queries_leave_the_views_of_the_session(spark, make_transactions):
+    spark.range(3).createOrReplaceTempView("t")
+    result = run_query(spark, "SELECT count(*) AS n FROM t, u", {"t": make_transactions({}), "u": make_transactions({}, {})})
+    assert spark.table("t").count() == 3 and not spark.catalog.tableExists("u")
+    assert result.first().n == 2
+    with pytest.raises(Exception, match="nowhere"):
+        run_query(spark, "SELECT * FROM t, nowhere", {"t": make_transactions({})})
+    assert spark.table("t").count() == 3
+    spark.catalog.dropTempView("t")
+
+
 def test_adhoc_queries(spark, make_transactions):
     rows = make_transactions({"merchant_name_cleaned": "o'hare"}, {})
     sql = "SELECT count(*) AS n FROM t WHERE merchant_name_cleaned <=> :name"

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from ledger_spark.plans import registry
 from ledger_spark.plans.workflows import Labellers, run_categorization, run_recurring
 from ledger_spark.sources import fixtures
+from ledger_spark.sources.staging import Staging, is_written
 from ledger_spark.streaming.arrivals import label_arrivals
 
 from .conftest import by_id
@@ -39,7 +40,7 @@ def test_every_step_takes_its_rows(make_transactions, make_rules, as_of):
         medical("description_prefix", "transaction_type", "channel", "persona_type"),
         lambda batch: medical("transaction_id")(batch.filter("transaction_type = 'Debit'")),
     )
-    result = run_categorization(rows, rules, as_of, labellers, count_cleansed=True, include_patterns=True)
+    result = run_categorization(rows, rules, as_of, labellers, include_patterns=True)
     labelled = result.transactions.select("transaction_id", "category_l2", "categorization_method")
     assert list(dict(sorted(by_id(labelled, "category_l2", "categorization_method").items())).values()) == [
         ("Shopping", "rules-based-merchant"),
@@ -59,6 +60,87 @@ def test_every_step_takes_its_rows(make_transactions, make_rules, as_of):
     ]
 
 
+class Recorder(Staging):
+    """Keeps the physical plans of what is written."""
+
+    def __init__(self, spark):
+        super().__init__(spark)
+        self.plans = {}
+
+    def _write(self, df, path, partitions=()):
+        self.plans[path.rsplit("-", 1)[-1]] = df._jdf.queryExecution().sparkPlan().toString()
+        super()._write(df, path, partitions)
+
+
+def test_raw_rows_are_read_and_cleansed_once(spark, make_transactions, make_rules, as_of, tmp_path):
+    raw = str(tmp_path / "raw")
+    labelled = {"category_l1": "Income", "category_l2": "Refund"}
+    make_transactions({"merchant_name_raw": "RULED #1"}, {"merchant_name_raw": "OTHER"}, labelled).write.parquet(raw)
+    staging = Recorder(spark)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        run_categorization(
+            spark.read.parquet(raw), make_rules({"identifier": "ruled"}), as_of,
+            Labellers(medical("merchant_name_cleaned", "transaction_type", "persona_type")), staging=staging,
+        )
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    plans = "".join(staging.plans.values())
+    assert plans.count(raw) == 1 and plans.count("regexp_extract(") == 1
+    assert raw in staging.plans["cleanse"]
+    assert "PartitionFilters: [isnotnull(__holds" in staging.plans["rules"] and "PartitionFilters: [isnotnull(__holds" in staging.plans["merchants"]
+
+
+def test_staged_tables_are_removed_on_request(spark, make_transactions):
+    staging = Staging(spark)
+    kept = Staging(spark)
+    rows = make_transactions({}, {"category_l1": "Income", "category_l2": "Refund"})
+    holds, others = staging.split(rows, "rows", F.col("category_l1").isNull())
+    assert holds.columns == rows.columns and (holds.count(), others.count()) == (1, 1)
+    table = kept.table(rows, "rows")
+    staging.delete()
+    assert not is_written(spark, staging.folder + "/001-rows") and is_written(spark, kept.folder + "/001-rows")
+    assert table.count() == 2
+
+
+def test_conflicts_are_settled_by_answers(make_transactions, make_rules, as_of):
+    rules = make_rules(
+        {"identifier": "a", "confidence_score": 90}, {"identifier": "a", "category_l2": "Groceries"}, {"identifier": "b"},
+        {"identifier": "b", "category_l2": "Groceries", "confidence_score": 10},
+    )
+    seen = []
+
+    def answers(batch):
+        seen.extend(r.rule_id for r in batch.collect())
+        texts = ['```json\n{"rule_to_keep": "R0001", "rules_to_deactivate": ["R0000"]}\n```', "no idea", '{"rules_to_deactivate": "R0002"}']
+        return batch.sparkSession.createDataFrame([(t,) for t in texts], "payload string")
+
+    rows = make_transactions({"merchant_name_raw": "A"})
+    result = run_categorization(rows, rules, as_of, Labellers(conflicts=answers))
+    assert sorted(seen) == ["R0000", "R0001", "R0002", "R0003"]
+    assert by_id(result.rules, "is_active", key="rule_id") == {"R0000": False, "R0001": True, "R0002": True, "R0003": True}
+    assert by_id(result.transactions, "rule_id") == {"T0000": "R0001"}
+    assert result.affected_rows()["conflicts"] == 1
+
+
+def test_rounds_offer_no_merchant_twice(make_transactions, as_of):
+    rows = make_transactions(*[{"merchant_name_cleaned": f"m{i}", "description_cleaned": "plan"} for i in range(7) for _ in range(5)])
+    offered = []
+
+    def some(batch):
+        names = [r.merchant_name_cleaned for r in batch.collect()]
+        offered.append(names)
+        return payload(batch.filter("merchant_name_cleaned <> 'm3'"), "merchant_name_cleaned", "transaction_type", F.lit(True).alias("is_recurring"))
+
+    result = run_recurring(rows, as_of, some, batch_size=3)
+    assert [len(names) for names in offered] == [3, 3, 1] and len(set(sum(offered, []))) == 7
+    flagged = result.transactions.filter("is_recurring").select("merchant_name_cleaned").distinct().collect()
+    assert {r.merchant_name_cleaned for r in flagged} == {f"m{i}" for i in range(7)} - {"m3"}
+    assert result.affected_rows()["rounds"] == 3
+    assert run_recurring(rows, as_of, some, batch_size=2, max_rounds=2).affected["rounds"] == 2
+    assert run_recurring(rows.limit(0), as_of, some, batch_size=2).affected["rounds"] == 0
+
+
 def test_without_labellers_only_rules_and_fallback_run(make_transactions, make_rules, as_of):
     result = run_categorization(make_transactions({}, {"transaction_type": "Credit"}), make_rules(), as_of)
     assert {r.category_l2 for r in result.transactions.collect()} == {"Other Expense", "Other Income"}
@@ -105,6 +187,25 @@ def test_arrivals_are_labelled_batch_by_batch(spark, make_transactions, make_rul
     assert by_id(labelled, "category_l2", "batch_id") == {"T0000": ("Shopping", 0), "T0001": (None, 1)}
 
 
+def test_a_replayed_batch_gives_equal_rows(spark, make_transactions, make_rules, tmp_path):
+    source, table, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
+    make_transactions({"merchant_name_raw": "SHOP #1"}, {"merchant_name_raw": "OTHER"}).write.parquet(source)
+    current = [make_rules({"identifier": "shop"})]
+
+    def run():
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        query = label_arrivals(stream, lambda _: current[0], table, progress)
+        query.trigger(availableNow=True).start().awaitTermination()
+        return sorted(map(str, spark.read.parquet(table).collect()))
+
+    first = run()
+    (tmp_path / "progress" / "commits" / "0").unlink()  # as after a failure between the write and the commit
+    (tmp_path / "progress" / "commits" / ".0.crc").unlink(missing_ok=True)
+    current[0] = make_rules({"identifier": "shop", "category_l2": "Groceries"}, {"identifier": "other"})
+    assert run() == first and any("Shopping" in row for row in first)
+    assert not list(tmp_path.glob("progress-inputs/ledger-*"))
+
+
 def test_observation_counts_survive_a_write(make_transactions, as_of, tmp_path):
     from ledger_spark.operators.lifecycle import apply_fallback
 
