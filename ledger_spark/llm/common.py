@@ -12,6 +12,9 @@ from ..sources.staging import Staging
 #: ASCII white space: what lies between the words of a text, in every operator here.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Begins the names of columns that operators add for themselves and drop again; callers' columns do not begin so.
+PRIVATE = "__ledger_llm_"
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

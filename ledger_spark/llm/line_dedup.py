@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stage, words_of
+from .common import PRIVATE, stage
 
 PERCENT = 80
-LEAST_WORDS = 5
 RARITY_SHARE = 65_536  # words above this share of all words get a rarity level of their own
 _LEVEL_BITS = 4
+_CROWDED = 16  # sets that share a prefix word: from here on the earliest of them is compared with the others first
 _BROADCAST_LINES = 1_000_000  # some 40 MB
 _NO_ID = -(2**63)
+_ID, _TK, _REMOVED = PRIVATE + "id", PRIVATE + "tk", PRIVATE + "removed"
 
 
 def _key(id_column: str, text_column: str) -> tuple[Column, Column]:
@@ -20,6 +21,13 @@ def _key(id_column: str, text_column: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)), F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
 
 
+def _words(text: Column) -> Column:
+    """Lower-case words of a text, found by plain searches for ASCII white space."""
+    for space in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(F.lower(text), " ", -1), "")
+
+
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, tk, line_no, line) of all texts."""
     id_, tk = _key(id_column, text_column)
@@ -32,8 +40,8 @@ def _rarity_levels(docs: DataFrame, text_column: str) -> list[list[int]]:
 
     A level spans a factor of four in frequency. At most RARITY_SHARE words can have their share.
     """
-    hashes = F.transform(words_of(F.lower(F.col(text_column))), lambda w: F.xxhash64(w))
-    counts = stage(docs.select(F.explode(hashes).alias("h")).groupBy("h").agg(F.count("*").alias("n")), "word-counts")
+    words = docs.select(F.explode(_words(F.coalesce(F.col(text_column), F.lit("")))).alias("w"))
+    counts = stage(words.select(F.xxhash64("w").alias("h")).groupBy("h").agg(F.count("*").alias("n")), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     level = F.floor(F.log2(F.col("n") * RARITY_SHARE / F.lit(max(1, total))) / 2).cast("int")
     frequent = counts.filter(F.col("n") * RARITY_SHARE >= total).select("h", level.alias("level")).collect()  # <= RARITY_SHARE rows
@@ -46,22 +54,32 @@ def _rarity_levels(docs: DataFrame, text_column: str) -> list[list[int]]:
 def _codes(line: Column, levels: list[list[int]]) -> Column:
     """The distinct words of a line as numbers that sort from rare to frequent."""
 
-    def code(word: Column) -> Column:
-        def ranked(h: Column) -> Column:
-            rank = F.lit(0)
-            for i, some in reversed(list(enumerate(levels))):
-                rank = F.when(h.isin(some), F.lit(len(levels) - i)).otherwise(rank)
-            return F.shiftleft(rank.cast("bigint"), 63 - _LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, _LEVEL_BITS + 1))
+    def ranked(h: Column) -> Column:
+        rank = F.lit(0)
+        for i, some in reversed(list(enumerate(levels))):
+            rank = F.when(h.isin(some), F.lit(len(levels) - i)).otherwise(rank)
+        return F.shiftleft(rank.cast("bigint"), 63 - _LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, _LEVEL_BITS + 1))
 
-        return let(F.xxhash64(word), ranked)
+    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.transform(hashes, ranked)))
 
-    return F.sort_array(F.array_distinct(F.transform(words_of(F.lower(line)), code)))
 
+def _described(docs: DataFrame, levels: list[list[int]], percent: int, id_column: str, text_column: str) -> DataFrame:
+    """All lines with a word, written once: (id, tk, line_no, n, k1, k2, bits0, bits1, prefix).
 
-def _described(lines: DataFrame, levels: list[list[int]], least_words: int) -> DataFrame:
-    """Lines with enough words: their codes and a 128-bit key of the set."""
-    coded = lines.select("id", "tk", "line_no", _codes(F.col("line"), levels).alias("codes")).filter(F.size("codes") >= least_words)
-    return coded.withColumns({"k1": F.xxhash64("codes"), "k2": F.xxhash64(F.lit(1), F.col("codes"))})
+    n is the size of a line's set, (k1, k2) a 128-bit key of it. Two sets at the limit share a word among
+    their rarest n - ceil(limit * n) + 1, the prefix. Sets of up to three words or so are similar to equal
+    ones only and have no prefix.
+    """
+    lines = _lines(docs, id_column, text_column).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    coded = lines.select("id", "tk", "line_no", _codes(F.col("line"), levels).alias("codes"))
+    n = F.size("codes")
+    prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
+    joins = 100 * n >= percent * (n + 1)
+    return stage(coded.select(
+        "id", "tk", "line_no", n.alias("n"), F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), F.col("codes")).alias("k2"),
+        *[F.when(joins, _parity(F.col("codes"), i)).alias(f"bits{i}") for i in range(2)], F.when(joins, prefix).alias("prefix"),
+    ), "lines")
 
 
 def _parity(codes: Column, part: int) -> Column:
@@ -71,40 +89,89 @@ def _parity(codes: Column, part: int) -> Column:
     return F.aggregate(mine, F.lit(0).cast("bigint"), lambda total, c: total.bitwiseXOR(bit(c)))
 
 
-def _candidates(described: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of keys k1 whose sets may be similar enough.
-
-    Equal sets are one row from here on. Two sets at the limit share a word among their rarest
-    n - ceil(limit * n) + 1; the pair must also fit by length, by the words left behind the shared one,
-    and by the parity bits in which the sets differ.
-    """
-    n = F.size("codes")
-    prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
-    row = F.struct("id", "tk", "line_no", n.alias("n"), *[_parity(F.col("codes"), i).alias(f"bits{i}") for i in range(2)], prefix.alias("prefix"))
-    joined = described.filter(100 * n >= percent * (n + 1))  # smaller sets are similar to equal ones only
-    sets = joined.groupBy("k1", "k2").agg(F.min(row).alias("r"))
-    words = sets.select("k1", F.col("r.n").alias("n"), "r.bits0", "r.bits1", F.posexplode("r.prefix").alias("at", "code"))
-    both, left = F.col("x.n") + F.col("y.n"), F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+def _may_match(percent: int, n: Column | None = None, m: Column | None = None, at: tuple[Column, Column] | None = None) -> Column:
+    """Whether prefix words x and y may belong to similar sets: by length, by the words left behind the
+    shared one, and by the parity bits in which the sets differ."""
+    n, m = (F.col("x.n"), F.col("y.n")) if n is None else (n, m)
+    at_x, at_y = at or (F.col("x.at"), F.col("y.at"))
+    both, left = n + m, F.least(n - at_x, m - at_y)
     differ = sum((F.bit_count(F.col(f"x.bits{i}").bitwiseXOR(F.col(f"y.bits{i}"))) for i in range(2)), F.lit(0))
-    fits = (
-        (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    return (
+        (100 * F.least(n, m) >= percent * F.greatest(n, m))
         & ((100 + percent) * left >= percent * both)
         & ((100 + percent) * differ <= (100 - percent) * both)
     )
-    pairs = words.alias("x").join(words.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.k1") < F.col("y.k1")) & fits)
-    return pairs.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct()
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, broadcast if they are few: the plan only, beyond that the other side is shuffled."""
+    return F.broadcast(rows) if rows.count() <= _BROADCAST_LINES else rows
+
+
+def _later_of(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, levels: list[list[int]], percent: int,
+              id_column: str, text_column: str) -> DataFrame:
+    """k1 of the later set of each pair (a, b) of similar ones; verified on all words.
+
+    Words come from each set's first line, of documents that have such a line.
+    """
+    pairs = stage(pairs.distinct(), "line-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
+    ends = stage(firsts.join(ends, "k1", "left_semi").select("k1", "first.id", "first.tk", "first.line_no"), "line-ends")
+    ends = _small(ends)
+    id_, tk = _key(id_column, text_column)
+    holders = ends.select(F.col("id").alias(_ID), F.col("tk").alias(_TK))
+    some = docs.withColumns({_ID: id_, _TK: tk}).join(holders, [_ID, _TK], "left_semi")
+    lines = _lines(some, id_column, text_column).join(ends, ["id", "tk", "line_no"])
+    sets = lines.select("k1", F.struct("id", "tk", "line_no", "k1").alias("place"), _codes(F.col("line"), levels).alias("codes"))
+    sets = stage(sets.dropDuplicates(["k1", "place"]), "line-sets")
+    x, y = (sets.select(F.col("k1").alias(c), F.col("place").alias(f"place_{c}"), F.col("codes").alias(f"codes_{c}")) for c in ("a", "b"))
+    shared = F.size(F.array_intersect("codes_a", "codes_b"))
+    similar = pairs.join(x, "a").join(y, "b").filter(100 * shared >= percent * (F.size("codes_a") + F.size("codes_b") - shared))
+    return similar.select(F.greatest("place_a", "place_b").getField("k1").alias("k1")).distinct()
+
+
+def _repeating_sets(docs: DataFrame, firsts: DataFrame, levels: list[list[int]], percent: int, id_column: str, text_column: str) -> DataFrame:
+    """k1 of the sets that are similar to one whose first line is earlier.
+
+    One earlier match is enough. So where many sets share a prefix word they are compared with the
+    earliest of them first, which takes as many pairs as there are sets. In a family of near copies that
+    settles nearly all; then every two sets that share a prefix word are compared unless both are settled.
+    """
+    firsts = firsts.filter("first.prefix IS NOT NULL")
+    which = ["k1", F.col("first.n").alias("n"), F.col("first.bits0").alias("bits0"), F.col("first.bits1").alias("bits1")]
+    word = F.posexplode("first.prefix").alias("at", "code")
+    crowded = stage(firsts.select(F.explode("first.prefix").alias("code")).groupBy("code").agg(F.count("*").alias("m")).filter(F.col("m") >= _CROWDED), "crowded-words")
+    place = F.struct("first.id", "first.tk", "first.line_no", "k1").alias("place")
+    words = firsts.select(*which, place, word).join(_small(crowded.select("code")), "code")
+    earliest = words.groupBy("code").agg(F.min(F.struct("place", "n", "bits0", "bits1", "at")).alias("r")).select("code", "r.*")
+    pairs = words.alias("x").join(earliest.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.place") > F.col("y.place")) & _may_match(percent))
+    pairs = pairs.select(F.col("x.k1").alias("a"), F.col("y.place.k1").alias("b"))
+    settled = stage(_later_of(docs, pairs, firsts, levels, percent, id_column, text_column), "settled-lines")
+
+    marked = firsts.join(_small(settled.withColumn("settled", F.lit(1))), "k1", "left").select(*which, "settled", word)
+    # one number for the small ones: what is shuffled of a word is this, its code, its set's key and bits
+    narrow = marked.select("k1", "bits0", "bits1", "code", (F.shiftleft(F.col("n").cast("bigint"), 32) + 2 * F.col("at").cast("bigint") + F.coalesce("settled", F.lit(0))).alias("packed"))
+
+    x, y = F.col("x.packed"), F.col("y.packed")
+    open_ = x.bitwiseAND(y).bitwiseAND(F.lit(1)) == 0
+    sizes, at = [F.shiftright(v, 32) for v in (x, y)], tuple(F.shiftright(v.bitwiseAND(F.lit(0xFFFFFFFF)), 1) for v in (x, y))
+    met = narrow.alias("x").join(
+        narrow.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.k1") < F.col("y.k1")) & open_ & _may_match(percent, *sizes, at)
+    )
+    others = _later_of(docs, met.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")), firsts, levels, percent, id_column, text_column)
+    return settled.unionByName(others).distinct()
 
 
 def repeated_lines(
-    docs: DataFrame, *, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *, percent: int = PERCENT, least_words: int = 1, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(id, line_no) of the lines to remove: those similar to an earlier one.
 
     A line is its set of lower-case words; two are similar when 100 * intersection >= ``percent`` *
     union. Lines are ordered by (id, line number); a line goes if any earlier line of the table is
     similar to it. Different texts under one id, or without id, are documents of their own, ordered by a
-    hash of the text, and their rows here cannot be told apart. Lines of fewer than ``least_words`` different words always stay, as blank ones do; the
-    report and the removal below take lines of any word.
+    hash of the text, and their rows here cannot be told apart. Lines of fewer than ``least_words`` different
+    words always stay, as blank ones do.
     Line numbers count from 0 in the text split at ``\\n``. Rows that repeat an id with its text are one
     document, also those with a null id, which come first, under the smallest id; a null text is one empty line; an
     empty table gives an empty result. Other columns are not read.
@@ -115,31 +182,23 @@ def repeated_lines(
 def _repeated(docs: DataFrame, percent: int, least_words: int, id_column: str, text_column: str) -> DataFrame:
     """(id, tk, line_no) of the lines to remove."""
     levels = _rarity_levels(docs, text_column)
-    described = _described(_lines(docs, id_column, text_column), levels, least_words)
-    pairs = stage(_candidates(described, percent), "line-pairs")
-    keys = stage(described.select("id", "tk", "line_no", "k1", "k2"), "line-keys")
-    firsts = keys.groupBy("k1", "k2").agg(F.min(F.struct("id", "tk", "line_no")).alias("first"), F.count("*").alias("n"))
-
-    in_pairs = pairs.select(F.col("a").alias("k1")).unionByName(pairs.select(F.col("b").alias("k1"))).distinct()
-    ends = stage(firsts.join(in_pairs, "k1", "left_semi").select("k1", "first", F.col("first.id").alias("id"), F.col("first.tk").alias("tk"), F.col("first.line_no").alias("line_no")), "line-ends")
-    few = ends.count() <= _BROADCAST_LINES  # the plan only: beyond it the lines are shuffled
-    some = _lines(docs, id_column, text_column).join(F.broadcast(ends) if few else ends, ["id", "tk", "line_no"])
-    sets = stage(some.select("k1", "first", _codes(F.col("line"), levels).alias("codes")).dropDuplicates(["k1", "first"]), "line-sets")
-    x, y = sets.toDF("a", "first_a", "codes_a"), sets.toDF("b", "first_b", "codes_b")
-    shared = F.size(F.array_intersect("codes_a", "codes_b"))
-    similar = pairs.join(x, "a").join(y, "b").filter(100 * shared >= percent * (F.size("codes_a") + F.size("codes_b") - shared))
-    later = similar.select(F.greatest("first_a", "first_b").alias("first")).distinct().withColumn("later", F.lit(True))
-
-    # a set goes as a whole when its first line has an earlier match, and all but its first line otherwise
-    doomed = firsts.join(later, "first", "left").filter("later OR n > 1").select("k1", "k2", "first", "later")
-    return keys.join(doomed, ["k1", "k2"]).filter(
+    lines = _described(docs, levels, percent, id_column, text_column).filter(F.col("n") >= least_words)
+    firsts = stage(lines.groupBy("k1", "k2").agg(
+        F.min(F.struct("id", "tk", "line_no", "n", "bits0", "bits1", "prefix")).alias("first"), F.count("*").alias("copies")
+    ), "line-firsts")
+    later = _repeating_sets(docs, firsts, levels, percent, id_column, text_column).withColumn("later", F.lit(True))
+
+    # a set goes as a whole when an earlier one is similar, and all but its first line otherwise
+    at = F.struct("first.id", "first.tk", "first.line_no")
+    doomed = firsts.join(later, "k1", "left").filter("later OR copies > 1").select("k1", "k2", at.alias("first"), "later")
+    return lines.join(doomed, ["k1", "k2"]).filter(
         F.col("later").isNotNull() | (F.struct("id", "tk", "line_no") > F.col("first"))
     ).select("id", "tk", "line_no")
 
 
 def _removed(docs: DataFrame, percent: int, least_words: int, id_column: str, text_column: str) -> DataFrame:
     lines = _repeated(docs, percent, least_words, id_column, text_column)
-    return lines.groupBy(F.col("id").alias("_id"), F.col("tk").alias("_tk")).agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    return lines.groupBy(F.col("id").alias(_ID), F.col("tk").alias(_TK)).agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 
 def line_report(
@@ -148,8 +207,8 @@ def line_report(
     """(doc_id, n_lines, n_removed, removed: numbers of the removed lines joined by commas) of each row."""
     id_, tk = _key(id_column, text_column)
     n_lines = F.size(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n", -1)).cast("bigint")
-    rows = docs.select(F.col(id_column).alias("doc_id"), id_.alias("_id"), tk.alias("_tk"), n_lines.alias("n_lines"))
-    out = rows.join(_removed(docs, percent, least_words, id_column, text_column), ["_id", "_tk"], "left")
+    rows = docs.select(F.col(id_column).alias("doc_id"), id_.alias(_ID), tk.alias(_TK), n_lines.alias("n_lines"))
+    out = rows.join(_removed(docs, percent, least_words, id_column, text_column), [_ID, _TK], "left")
     return out.select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"),
@@ -161,8 +220,8 @@ def remove_repeated_lines(
 ) -> DataFrame:
     """``docs`` without the repeated lines; all rows and other columns stay, a null text stays null."""
     id_, tk = _key(id_column, text_column)
-    keyed = docs.withColumns({"_id": id_, "_tk": tk})
-    removed = _removed(docs, percent, least_words, id_column, text_column).withColumnRenamed("removed", "_removed")
-    kept = F.filter(F.split(text_column, "\n", -1), lambda _, i: ~F.array_contains("_removed", i))
-    text = F.when(F.col("_removed").isNull(), F.col(text_column)).otherwise(F.array_join(kept, "\n"))
-    return keyed.join(removed, ["_id", "_tk"], "left").withColumn(text_column, text).select(*docs.columns)
+    keyed = docs.withColumns({_ID: id_, _TK: tk})
+    removed = _removed(docs, percent, least_words, id_column, text_column).withColumnRenamed("removed", _REMOVED)
+    kept = F.filter(F.split(text_column, "\n", -1), lambda _, i: ~F.array_contains(_REMOVED, i))
+    text = F.when(F.col(_REMOVED).isNull(), F.col(text_column)).otherwise(F.array_join(kept, "\n"))
+    return keyed.join(removed, [_ID, _TK], "left").withColumn(text_column, text).select(*docs.columns)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import PRIVATE, stage
 from .shingles import mix, powers
 from .suffix_array import MOST_BYTES, common_prefixes, suffix_array
 
@@ -23,6 +23,7 @@ _MOST_STARTS = 1024  # starts in a region
 _SHARD_BYTES = 1 << 20
 _REGIONS_A_SHARD = 1000  # of one anchor: more are split over shards and merged
 _NO_ID = -(2**63)
+_ID, _TK, _FOUND = PRIVATE + "id", PRIVATE + "tk", PRIVATE + "found"
 _RUN = pa.schema([("fp", pa.int64()), ("rh", pa.int64()), ("n", pa.int32()), ("id", pa.int64()), ("tk", pa.int64()),
                   ("start", pa.int64()), ("occurs", pa.int32())])
 _RUN_DDL = "fp bigint, rh bigint, n int, id bigint, tk bigint, start bigint, occurs int"
@@ -356,8 +357,8 @@ def remove_repeats(
     Where a cut falls inside a character, what is left of it goes too; a null text stays null.
     """
     keyed = docs.withColumns({
-        "_id": F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)), "_tk": F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))),
+        _ID: F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)), _TK: F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))),
     })
-    found = find_repeats(_keyed(docs, id_column, text_column), length=length, gram=gram).toDF("_id", "_tk", "_found")
-    cut = F.when(F.col("_found").isNull(), F.col(text_column)).otherwise(F.pandas_udf(_without, "string")(F.col(text_column), F.col("_found")))
-    return keyed.join(found, ["_id", "_tk"], "left").withColumn(text_column, cut).select(*docs.columns)
+    found = find_repeats(_keyed(docs, id_column, text_column), length=length, gram=gram).toDF(_ID, _TK, _FOUND)
+    cut = F.when(F.col(_FOUND).isNull(), F.col(text_column)).otherwise(F.pandas_udf(_without, "string")(F.col(text_column), F.col(_FOUND)))
+    return keyed.join(found, [_ID, _TK], "left").withColumn(text_column, cut).select(*docs.columns)
