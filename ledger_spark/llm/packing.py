@@ -2,88 +2,22 @@
 
 from __future__ import annotations
 
-import struct
-import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
+from .word_ids import ids_of, text_slices, unit_ids
 
-_CACHED_WORDS = 1_000_000
-_WORDS_A_CALL = 2_000
-_WORD_END = "</w>"
 
-
-class WordIds(dict):
-    """Token ids of words as little-endian bytes; words are encoded once while the cache holds them.
-
-    The vocabulary drops white space, never joins over it and lower-cases, so the ids of a text are
-    those of its words one after another, and a word of letters with a point or comma behind it has
-    the ids of the two. The cache has a fixed bound.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        ends = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.is_end = np.array([t.endswith(_WORD_END) for t in ends])
-        self.marks = {"": b""} | {c: self._one(c) for c in ".,"}
-
-    def _one(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Make all ``words`` known; may forget others."""
-        if len(self) + len(words) > _CACHED_WORDS:
-            self.clear()
-        cores: dict[str, list[tuple[str, str]]] = {}
-        for word in words:
-            mark = word[-1:] if word[-1:] in (".", ",") else ""
-            core = word[: len(word) - len(mark)]
-            core = core.lower() if core.isascii() else core
-            if core.isalpha():
-                cores.setdefault(core, []).append((word, mark))
-            else:
-                self[word] = self._one(word)
-        known = list(cores)
-        for at in range(0, len(known), _WORDS_A_CALL):
-            some = known[at : at + _WORDS_A_CALL]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.is_end[ids]) + 1
-            if len(ends) == len(some):
-                each = [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-            else:  # a letter that the vocabulary cuts a word at
-                each = [self._one(core) for core in some]
-            for core, found in zip(some, each, strict=True):
-                for word, mark in cores[core]:
-                    self[word] = found + self.marks[mark]
-
-
-def _word_ids(path: str) -> WordIds:
-    """The cache of this Python worker, which outlives a task."""
-    kept = sys.modules.setdefault(f"{__name__}.kept", SimpleNamespace(path=None))
-    if kept.path != path:
-        kept.path, kept.ids = path, WordIds(path)
-    return kept.ids
-
-
-def _words(text: str) -> list[str]:
-    for space in "\n\t\r\x0b\f":
-        text = text.replace(space, " ")
-    return text.split(" ")
-
-
-def pieces_of(ids: bytes, window: int) -> Iterator[tuple[int, int, int]]:
+def pieces_of(ids: memoryview, window: int) -> Iterator[tuple[int, int, int]]:
     """(start, length, crc32) of the pieces: whole windows, then the rest."""
     step = 4 * window
     for at in range(0, len(ids), step):
@@ -99,23 +33,20 @@ def tokenize_pieces(
 
     A null text is an empty one and still has its ``end_id``. Whole texts are encoded.
     """
-    end = struct.pack("<I", end_id)
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
     schema = pa.schema([*fields, ("ids", pa.binary())] if with_ids else fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _word_ids(tokenizer_path)
+        units = unit_ids(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [_words(t or "") for t in part.column(1).to_pylist()]
-                if new := {w for words in texts for w in words if w not in cache}:
-                    cache.learn(new if len(cache) + len(new) <= _CACHED_WORDS else set().union(*texts))
-                rows: list[tuple] = []
-                for doc_id, words in zip(part.column(0).to_pylist(), texts, strict=True):
-                    ids = b"".join(map(cache.__getitem__, words)) + end
+            for part in text_slices(batch, 1):
+                found, sizes = ids_of(pc.fill_null(part.column(1), ""), units, end_id)
+                data, rows, at = memoryview(found.astype("<u4").tobytes()), [], 0
+                for doc_id, size in zip(part.column(0).to_pylist(), sizes.tolist(), strict=True):
+                    ids = data[4 * at : 4 * (at + size)]
+                    at += size
                     for start, length, crc in pieces_of(ids, window):
-                        rows.append((doc_id, start, length, crc, len(ids) // 4, *([ids[4 * start : 4 * (start + length)]] if with_ids else [])))
+                        rows.append((doc_id, start, length, crc, size, *([bytes(ids[4 * start : 4 * (start + length)])] if with_ids else [])))
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
