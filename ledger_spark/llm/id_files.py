@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..sources.staging import shared_folder
 from .common import stage
 from .huffman import Codebook, code_lengths
-from .word_ids import ids_of, text_slices, unit_ids
+from .word_ids import LARGE, ids_of, text_slices, unit_ids
 
 MAGIC = b"IDBLOCK1"
 BLOCK_IDS = 1 << 16
@@ -48,10 +48,10 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, id_co
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, row = unit_ids(tokenizer_path), TaskContext.get().partitionId() << 40
+        units, row = unit_ids(tokenizer_path, LARGE[0]), TaskContext.get().partitionId() << 40
         width = units.width if end_id < 1 << 16 else 4
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, LARGE[1]):
                 ids, sizes = ids_of(pc.fill_null(part.column(1), ""), units, end_id)
                 offsets = np.concatenate(([0], np.cumsum(width * sizes))).astype(np.int64)
                 data = ids.astype(f"<u{width}").tobytes()

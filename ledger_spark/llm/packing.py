@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
-from .word_ids import ids_of, text_slices, unit_ids
+from .word_ids import SMALL, ids_of, text_slices, unit_ids
 
 
 def pieces_of(ids: memoryview, window: int) -> Iterator[tuple[int, int, int]]:
@@ -37,9 +37,9 @@ def tokenize_pieces(
     schema = pa.schema([*fields, ("ids", pa.binary())] if with_ids else fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = unit_ids(tokenizer_path)
+        units = unit_ids(tokenizer_path, SMALL[0])
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, SMALL[1]):
                 found, sizes = ids_of(pc.fill_null(part.column(1), ""), units, end_id)
                 data, rows, at = memoryview(found.astype("<u4").tobytes()), [], 0
                 for doc_id, size in zip(part.column(0).to_pylist(), sizes.tolist(), strict=True):

@@ -17,10 +17,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-_TEXT_BYTES = 4 << 20
 _UNIT_END = "</w>"
 _UNITS_A_CALL = 2_000
-_HELD_UNITS = 400_000
+#: Units that a worker's table holds, and text that is split at once: of little memory, and of little work.
+SMALL, LARGE = (400_000, 4 << 20), (1_500_000, 16 << 20)
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which contractions begin with
 
 
@@ -32,7 +32,8 @@ class UnitIds:
     such a word is two units. The table has a fixed bound and starts anew beyond it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, held: int):
+        self.held = held
         self.tokenizer = Tokenizer.from_file(path)
         known = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.is_end = np.array([t.endswith(_UNIT_END) for t in known])
@@ -91,7 +92,7 @@ class UnitIds:
 
     def of_words(self, words: list[str], special: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and how many each has; ``special`` says that some may hold a special token."""
-        if len(self.slots) + 2 * len(words) > _HELD_UNITS:
+        if len(self.slots) + 2 * len(words) > self.held:
             self._clear()
         cores = [w.rstrip(_MARKS) for w in words]
         cores = [c if c and _stays_letter(c[-1]) else w for c, w in zip(cores, words, strict=True)]
@@ -114,11 +115,11 @@ def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return values[np.repeat(starts - (total - sizes), sizes) + np.arange(total[-1] if len(total) else 0)]
 
 
-def unit_ids(path: str) -> UnitIds:
+def unit_ids(path: str, held: int) -> UnitIds:
     """The table of this Python worker, which outlives a task."""
-    kept = sys.modules.setdefault(f"{__name__}.kept", SimpleNamespace(path=None))
-    if kept.path != path:
-        kept.path, kept.units = path, UnitIds(path)
+    kept = sys.modules.setdefault(f"{__name__}.kept", SimpleNamespace(of=None))
+    if kept.of != (path, held):
+        kept.of, kept.units = (path, held), UnitIds(path, held)
     return kept.units
 
 
@@ -141,9 +142,9 @@ def ids_of(texts: pa.Array, units: UnitIds, end_id: int) -> tuple[np.ndarray, np
     return _gather(flat, (np.cumsum(sizes) - sizes)[which], each), per_text
 
 
-def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in parts of about _TEXT_BYTES of the column."""
-    part = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // _TEXT_BYTES
+def text_slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``size`` bytes of the column."""
+    part = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in itertools.pairwise(cuts):
         if b > a:
