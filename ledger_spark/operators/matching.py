@@ -192,7 +192,7 @@ def match_keys(rows: DataFrame, index: RuleIndex, *, persona: bool = True, all_m
     applies = (
         (F.col("probe") == F.col("r_probe"))
         & (F.col("probe_type") == F.col("r_transaction_type"))
-        & ((F.col("r_rule_type") != "pattern") | (begins == F.col("probe_position") - F.col("r_offset")))
+        & ((F.col("r_rule_type") != "pattern") | ((begins > 0) & (begins == F.col("probe_position") - F.col("r_offset"))))
     )
     if persona:
         applies = applies & (

@@ -119,6 +119,13 @@ def test_matching_equals_the_definition(make_transactions, make_rules, as_of, tr
         assert counts.get(r["rule_id"], 0) == n
 
 
+def test_a_shared_substring_alone_is_no_match(make_transactions, make_rules):
+    """The substring lies in the text where the pattern would have to begin one character before the text."""
+    rows = make_transactions({"description_cleaned": "red rod a0"}, {"description_cleaned": "xcold rod co17"})
+    rules = make_rules({"identifier": "cold rod co17", "rule_type": "pattern"}, {"identifier": "d rod b", "rule_type": "pattern"})
+    assert [(p.transaction_id, p.rule_id) for p in match_rules(rows, rules).collect()] == [("T0001", "R0000")]
+
+
 def test_staged_winners_give_the_same_result(spark, make_transactions, make_rules, as_of):
     rows = make_transactions(*[{"merchant_name_cleaned": f"m{i % 3}"} for i in range(9)])
     rules = make_rules({"identifier": "m1"}, {"identifier": "m2", "transaction_type": "All"})
