@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 from .common import stage
 
 TOP = 20
-SAMPLE = 32_768  # vectors that the centroids are fit on
-LIST_ROWS = 128  # aimed at
-MOST_LISTS = 4_096
-REPLICAS, BOUNDARY = 4, 1.12
-LEAST_LISTS, RATIO = 12, 1.22
-PROBES, RECALL = 256, 0.999  # queries compared with the whole table, and the share of their neighbours that lists must hold
-LEAST_BLOCKS, BLOCK_BYTES = 16, 4 << 20  # postings are compared in blocks of at most so many bytes of vectors
+RECALL = 0.992  # share of the neighbours of the probes that the opened lists must hold
+PROBES = 256  # queries compared with the whole table, to measure the ratio
+SAMPLE_BYTES = 64 << 20  # of the vectors that the centroids are fit on
+LIST_ROWS, CELL_ROWS = 32, 8  # rows of a list aimed at, and the fewest sampled rows that a centroid stands for
+REPLICAS, BOUNDARY = 4, 1.004
+DEGREE, LEAST_EXPLORED = 16, 32
+BLOCK_BYTES, LEAST_BLOCKS = 4 << 20, 16  # postings lie in blocks of at most so many bytes of vectors
 QUERY_BYTES = 4 << 20  # of the queries compared with a block at once
+_RESULT = "query_id bigint, rank int, vec_id bigint, score double, compared bigint"
 
 
 def _halve(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -63,9 +64,38 @@ def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x**2).sum(1)[:, None] + (centroids**2).sum(1)[None] - 2 * x @ centroids.T, 0.0))
 
 
-def _steps(pieces: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each run of ``pieces``."""
-    return np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+class CentroidGraph:
+    """Each centroid linked with its nearest ones, and with its neighbours in the order of the halving so that all are reached."""
+
+    def __init__(self, centroids: np.ndarray):
+        self.centroids, n = centroids, len(centroids)
+        near = [np.argsort(_distances(centroids[at : at + 256], centroids), axis=1, kind="stable")[:, 1 : DEGREE + 1] for at in range(0, n, 256)]
+        around = np.arange(n)[:, None] + np.array([-1, 1])
+        self.links = np.column_stack((np.concatenate(near), around % n))
+        self.entries = np.unique(np.linspace(0, n - 1, int(np.ceil(np.sqrt(n)))).astype(np.int64))
+
+    def search(self, x: np.ndarray, ratio: float, held: np.ndarray | None = None, least: int = 0) -> np.ndarray:
+        """The lists within ``ratio`` times the distance of the nearest, and the nearest that ``held`` together ``least`` rows.
+
+        Goes on, wave by wave, while a centroid within that distance, or among the LEAST_EXPLORED nearest,
+        has links not followed yet: as many lists are opened as the ratio asks for.
+        """
+        away, followed = np.full(len(self.centroids), np.inf), np.zeros(len(self.centroids), bool)
+        new = self.entries
+        while len(new):
+            away[new] = np.sqrt(((self.centroids[new] - x) ** 2).sum(axis=1))
+            known = away < np.inf
+            limit = away.min() * ratio
+            if least and held[away <= limit].sum() < least:
+                order = np.argsort(away, kind="stable")[: known.sum()]
+                enough = np.searchsorted(np.cumsum(held[order]), least)
+                limit = max(limit, away[order[min(enough, len(order) - 1)]])
+            explored = max(limit, np.partition(away, LEAST_EXPLORED)[LEAST_EXPLORED]) if len(away) > LEAST_EXPLORED else np.inf
+            wave = np.flatnonzero(known & (away <= explored) & ~followed)
+            followed[wave] = True
+            new = np.unique(self.links[wave])
+            new = new[~known[new]]
+        return np.flatnonzero(known & (away <= limit))
 
 
 def _blocks(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,9 +113,25 @@ def _blocks(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(first), np.array(pieces)
 
 
-def _opened(lists: np.ndarray, first: np.ndarray, pieces: np.ndarray) -> np.ndarray:
-    """Blocks of some lists."""
-    return np.unique(np.repeat(first[lists], pieces[lists]) + _steps(pieces[lists]))
+def _best_of(q: np.ndarray, x: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (query, vector) of all that may be among the ``kept`` best: rounding of the product and ties are left in."""
+    rough = q @ x.T
+    kept = min(kept, len(x))
+    low = np.partition(rough, len(x) - kept, axis=1)[:, len(x) - kept]
+    slack = 1e-12 * np.sqrt((x**2).sum(1).max() * (q**2).sum(1))
+    return np.nonzero(rough >= (low - slack)[:, None])
+
+
+def _ranked(who: np.ndarray, score: np.ndarray, ids: np.ndarray, kept: int) -> np.ndarray:
+    """Places of the ``kept`` best distinct ids of each ``who``, by score, ties to the smaller id."""
+    order = np.lexsort((ids, -score, who))
+    w, i = who[order], ids[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (w[1:] != w[:-1]) | (i[1:] != i[:-1])
+    order, w = order[fresh], w[fresh]
+    starts = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1]))) if len(w) else np.zeros(0, np.int64)
+    nth = np.arange(len(w)) - np.repeat(starts, np.diff(np.append(starts, len(w))))
+    return order[nth < kept]
 
 
 def _needed(placed: DataFrame, probes: pd.DataFrame, ratios: np.ndarray, top: int) -> list[float]:
@@ -120,33 +166,36 @@ def _to_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def nearest(
-    vectors: DataFrame, *, every: int = 20, top: int = TOP, id_column: str = "vec_id", vector_column: str = "embedding"
+    vectors: DataFrame, *, every: int = 20, top: int = TOP, recall: float = RECALL, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): nearest others of each row whose id is divisible by ``every``.
+    """(query_id, rank, vec_id, score, compared): nearest others of each row whose id is divisible by ``every``.
 
     Nearness is the inner product of the original vectors in double precision; ties go to the smaller
     id. Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
     components take no part, like rows without id; repeated rows count once. Rows with equal vectors
     are searched as one: its ``top`` + 1 smallest ids are all that any result can need of it.
 
-    Index: centroids of equal cells are fit on SAMPLE distinct vectors; every distinct vector is put on
-    the list of its nearest centroid and, near a boundary, of up to REPLICAS centroids within BOUNDARY
-    times that distance. A query opens the LEAST_LISTS nearest lists and all within a ratio of the
-    nearest distance, however many they are. The ratio is measured on the table: PROBES queries are
-    compared with all vectors, and it is RATIO or what holds RECALL of their neighbours, if that is more.
-    Neighbouring lists share a block of at most BLOCK_BYTES (a crowded list is spread over several), and
-    a query is compared with all of each block that it opens one list of. Where that is as many
-    comparisons as with all vectors, as on vectors without structure, the search is exact: each vector is
-    posted once and each query compared with all.
+    Index: centroids of equal cells are fit on at most SAMPLE_BYTES of the distinct vectors; every
+    distinct vector is put on the list of its nearest centroid and, near a boundary, of up to REPLICAS
+    centroids within BOUNDARY times that distance. Lists grow in number with the table as long as the
+    sample gives each centroid CELL_ROWS rows, in length beyond. A query searches the graph of centroids
+    and opens all lists within a ratio of the nearest distance, however many they are. The ratio is
+    measured on the table: PROBES queries are compared with all vectors, and it is the least that opens
+    lists with ``recall`` of their neighbours. On vectors without structure that is a large part of the lists.
+    Where so few lists hold less than ``top`` others, the next ones are opened too.
+
+    Lists lie in blocks of at most BLOCK_BYTES (a crowded list is spread over several), and a query is
+    compared only with the lists of a block that it opened; ``compared`` counts those vectors. A block
+    that many queries open is copied for every QUERY_BYTES of them, so no task holds more.
     """
+    spark = vectors.sparkSession
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
     sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").limit(1)
     common_size = sizes.first()
-    result = "query_id bigint, rank int, vec_id bigint, score double"
     if common_size is None:
-        return vectors.sparkSession.createDataFrame([], result)
+        return spark.createDataFrame([], _RESULT)
     rows = rows.filter(F.size("v") == common_size["size"]).withColumn("v", F.transform("v", lambda x: x + 0.0))
     rows = rows.mapInPandas(_to_bytes, "id bigint, v binary").dropDuplicates(["id"])
     rows = stage(rows.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit(1), F.col("v"))}), "vectors")
@@ -154,16 +203,16 @@ def nearest(
     first = Window.partitionBy("k1", "k2").orderBy("id")
     some = rows.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= top + 1)
     distinct = stage(some.groupBy("k1", "k2").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids")), "distinct")
-    n = distinct.count()
-    sample = _rows(distinct.orderBy(F.xxhash64("k1"), "k2").limit(SAMPLE).select("v").toPandas())
+    n, width = distinct.count(), 8 * common_size["size"]
+    sample = _rows(distinct.orderBy(F.xxhash64("k1"), "k2").limit(max(1, SAMPLE_BYTES // width)).select("v").toPandas())
     norms = distinct.mapInPandas(_largest_norm, "norm double").agg(F.max("norm")).first()[0]
-    lists = min(MOST_LISTS, max(1, n // LIST_ROWS))
+    lists = max(1, min(n // LIST_ROWS, len(sample) // CELL_ROWS))
     centroids = balanced_centroids(_lifted(sample, norms), lists) if lists > 1 else _lifted(sample, norms).mean(0)[None]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 2_000):
-                part = batch.iloc[at : at + 2_000]
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
                 d = _distances(_lifted(_rows(part), norms), centroids)
                 near = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
                 dist = np.take_along_axis(d, near, 1)
@@ -174,73 +223,81 @@ def nearest(
     placed = stage(distinct.select("v", "ids").mapInPandas(assign, "v binary, ids array<bigint>, lists array<bigint>"), "placed")
     asking = rows.filter(F.pmod("id", F.lit(every)) == 0)
     asked = stage(asking.select("k1", "k2", "v").dropDuplicates(["k1", "k2"]), "asked")
-    sizes = {r["list"]: r["count"] for r in placed.select(F.explode("lists").alias("list")).groupBy("list").count().collect()}  # <= MOST_LISTS rows
-    width = 8 * common_size["size"]
-    first, pieces = _blocks(np.array([sizes.get(c, 0) for c in range(len(centroids))]), max(1, BLOCK_BYTES // width))
+    counted = placed.select(F.explode("lists").alias("list")).groupBy("list").count().collect()  # a row per centroid
+    held = np.zeros(len(centroids), np.int64)
+    for r in counted:
+        held[r["list"]] = r["count"]
+    first, pieces = _blocks(held, max(1, BLOCK_BYTES // width))
 
     probes = asked.orderBy(F.xxhash64("k1"), "k2").limit(PROBES).select("v").toPandas()
-    ratio, compared = RATIO, n
-    if lists > LEAST_LISTS and len(probes):
-        d = np.sort(away := _distances(_scaled(_rows(probes), norms), centroids), axis=1)
-        needed = _needed(placed, probes, away / d[:, :1], top)
+    ratio = 1.0
+    if len(probes) and len(centroids) > 1:
+        away = _distances(_scaled(_rows(probes), norms), centroids)
+        needed = _needed(placed, probes, away / away.min(axis=1, keepdims=True), top)
         if needed:
-            ratio = max(RATIO, float(np.quantile(needed, RECALL, method="higher")))
-        opened = away <= np.maximum(d[:, :1] * ratio, d[:, [LEAST_LISTS - 1]])
-        rows_of = np.bincount(np.repeat(first, pieces) + _steps(pieces), np.repeat([sizes.get(c, 0) / k for c, k in enumerate(pieces.tolist())], pieces))
-        compared = float(np.mean([sum(rows_of[b] for b in _opened(o, first, pieces)) for o in map(np.flatnonzero, opened)]))
-    exact = compared >= n
+            ratio = float(np.quantile(needed, recall, method="higher")) * (1 + 1e-9)  # distances are rounded in two ways
+    graph = CentroidGraph(centroids)
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 2_000):
-                part = batch.iloc[at : at + 2_000]
-                d = _distances(_scaled(_rows(part), norms), centroids)
-                limit = np.maximum(d.min(1) * ratio, np.partition(d, LEAST_LISTS - 1, axis=1)[:, LEAST_LISTS - 1])
-                yield part.assign(blocks=[_opened(np.flatnonzero(o), first, pieces) for o in d <= limit[:, None]])
-
-    if exact:
-        blocks = max(LEAST_BLOCKS, -(-n * width // BLOCK_BYTES))
-        postings = placed.select(F.pmod(F.xxhash64("v"), F.lit(blocks)).alias("block"), "v", "ids")
-        routed = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    else:
-        table = pd.DataFrame({"list": np.arange(len(first)), "first": first, "pieces": pieces})  # <= MOST_LISTS rows
-        postings = placed.select("v", "ids", F.explode("lists").alias("list")).join(F.broadcast(vectors.sparkSession.createDataFrame(table)), "list")
-        postings = postings.select((F.col("first") + F.pmod(F.xxhash64("v"), "pieces")).alias("block"), "v", "ids")
-        postings = postings.groupBy("block", "v").agg(F.first("ids").alias("ids"))  # on several lists of the block
-        routed = asked.mapInPandas(choose, "k1 bigint, k2 bigint, v binary, blocks array<bigint>").withColumn("block", F.explode("blocks")).drop("blocks")
-    parts = max(1, -(-asked.count() * width // QUERY_BYTES))
-    postings = postings.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
-    routed = routed.withColumn("part", F.pmod(F.xxhash64("k2"), F.lit(parts)))
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                out = []
+                for k1, k2, x in zip(part["k1"], part["k2"], _scaled(_rows(part), norms), strict=True):
+                    opened = graph.search(x, ratio, held, REPLICAS * (top + 1))
+                    blocks = np.repeat(first[opened] - np.cumsum(pieces[opened]) + pieces[opened], pieces[opened]) + np.arange(pieces[opened].sum())
+                    chosen, total = np.repeat(opened, pieces[opened]), int(held[opened].sum())
+                    cuts = np.flatnonzero(np.diff(blocks)) + 1  # lists come in the order of their blocks
+                    heads = blocks[np.concatenate(([0], cuts))]
+                    out += [(k1, k2, total, int(b), ls) for b, ls in zip(heads, np.split(chosen, cuts), strict=True)]
+                yield pd.DataFrame(out, columns=["k1", "k2", "compared", "block", "opened"])
+
+    routed = stage(asked.mapInPandas(choose, "k1 bigint, k2 bigint, compared bigint, block bigint, opened array<bigint>"), "routed")
+    load = routed.groupBy("block").agg(F.ceil(F.count("*") * width / QUERY_BYTES).alias("parts"))
+    table = spark.createDataFrame(pd.DataFrame({"list": np.arange(len(first)), "first": first, "pieces": pieces}))  # a row per centroid
+    postings = placed.select("v", "ids", F.explode("lists").alias("list")).join(F.broadcast(table), "list")
+    postings = postings.select((F.col("first") + F.pmod(F.xxhash64("v"), "pieces")).alias("block"), "list", "v", "ids")
+    postings = postings.join(load, "block").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
+    asks = routed.join(asked, ["k1", "k2"]).join(load.withColumnRenamed("parts", "shares"), "block")
+    asks = asks.withColumn("part", F.pmod(F.xxhash64("k2"), "shares")).drop("shares")
 
     def compare(key, posted: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(posted) and len(queries):
-            x, ids = _rows(posted), posted["ids"].to_numpy()
-            least = np.array([i[0] for i in ids])
-            slack = 1e-12 * np.sqrt((x**2).sum(1).max())
-            for at in range(0, len(queries), 128):
-                part = queries.iloc[at : at + 128]
-                q = _rows(part)
-                rough = q @ x.T
-                kept = min(len(x), top + 1)
-                floor = np.partition(rough, len(x) - kept, axis=1)[:, len(x) - kept] - slack * np.sqrt((q**2).sum(1))
-                for k1, k2, one, rs, low in zip(part["k1"], part["k2"], q, rough, floor, strict=True):
-                    chosen = np.flatnonzero(rs >= low)
-                    scores = (x[chosen] * one).sum(axis=1)
-                    best = np.lexsort((least[chosen], -scores))[:kept]
-                    found = sorted((-s, int(i)) for s, c in zip(scores[best].tolist(), chosen[best].tolist(), strict=True) for i in ids[c])
-                    out += [(k1, k2, i, -s) for s, i in found[: top + 1]]
-        return pd.DataFrame(out, columns=["k1", "k2", "vec_id", "score"])
-
-    found = postings.groupBy("block", "part").cogroup(routed.groupBy("block", "part")).applyInPandas(
-        compare, "k1 bigint, k2 bigint, vec_id bigint, score double"
+        if not len(posted) or not len(queries):
+            return pd.DataFrame(columns=["k1", "k2", "compared", "vec_id", "score"])
+        posted = posted.sort_values("list", kind="stable")
+        x, ids, q = _rows(posted), posted["ids"].to_numpy(), _rows(queries)
+        least = np.array([i[0] for i in ids])
+        names, starts = np.unique(posted["list"].to_numpy(), return_index=True)
+        ends = np.append(starts[1:], len(x))
+        asking_of = np.repeat(np.arange(len(queries)), [len(o) for o in queries["opened"]])
+        wanted = np.concatenate(list(queries["opened"]))
+        at, to = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for name, a, b in zip(names, starts, ends, strict=True):
+            who = asking_of[wanted == name]
+            for k in range(0, len(who), 1024):
+                if len(some := who[k : k + 1024]):
+                    i, j = _best_of(q[some], x[a:b], top + 1)
+                    at.append(some[i])
+                    to.append(j + a)
+        at, to = np.concatenate(at), np.concatenate(to)
+        score = np.concatenate([np.zeros(0), *((q[at[k : k + 8192]] * x[to[k : k + 8192]]).sum(axis=1) for k in range(0, len(at), 8192))])
+        best = _ranked(at, score, least[to], top + 1)
+        at, to, score = at[best], to[best], score[best]
+        copies = np.array([len(ids[t]) for t in to], np.int64)
+        at, score, found = np.repeat(at, copies), np.repeat(score, copies), np.concatenate([np.zeros(0, np.int64), *(ids[t] for t in to)])
+        best = _ranked(at, score, found, top + 1)
+        of = queries[["k1", "k2", "compared"]].iloc[at[best]].reset_index(drop=True)
+        return of.assign(vec_id=found[best], score=score[best])
+
+    found = postings.groupBy("block", "part").cogroup(asks.groupBy("block", "part")).applyInPandas(
+        compare, "k1 bigint, k2 bigint, compared bigint, vec_id bigint, score double"
     )
-    found = found.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"))
+    found = found.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"), F.max("compared").alias("compared"))  # on several lists
     best = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id")
     found = stage(found.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= top + 1), "found")
     pairs = asking.select(F.col("id").alias("query_id"), "k1", "k2").join(found, ["k1", "k2"]).filter("query_id != vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    return pairs.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score", "compared")
 
 
 def _largest_norm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

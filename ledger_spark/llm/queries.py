@@ -40,7 +40,7 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
-    return nearest.nearest(read_table(spark, folder, "embeddings"))
+    return nearest.nearest(read_table(spark, folder, "embeddings"), recall=0.95)
 
 
 def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:

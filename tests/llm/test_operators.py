@@ -349,3 +349,32 @@ def test_pipeline(spark, small_folder):
         docs = line_dedup.stage(docs, "test")
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, small_folder)
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
+
+
+def test_centroid_graph_finds_all_lists_within_the_ratio():
+    rng = np.random.default_rng(7)
+    for x in (rng.normal(size=(4_000, 16)), np.repeat(rng.normal(size=(80, 16)), 50, axis=0) + 0.05 * rng.normal(size=(4_000, 16))):
+        centroids = nearest.balanced_centroids(x, 200)
+        graph = nearest.CentroidGraph(centroids)
+        wanted = got = 0
+        for q in x[::40]:
+            away = np.sqrt(((centroids - q) ** 2).sum(axis=1))
+            within = set(np.flatnonzero(away <= away.min() * 1.3).tolist())
+            found = set(graph.search(q, 1.3).tolist())
+            assert found <= within
+            wanted, got = wanted + len(within), got + len(found)
+        assert got >= 0.98 * wanted
+
+
+def test_nearest_compares_with_opened_lists_only(spark):
+    x = np.random.default_rng(8).normal(size=(20_000, 32))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = nearest.nearest(rows, every=200, recall=0.95).collect()
+    compared = {r["query_id"]: r["compared"] for r in got}
+    assert len(compared) == 100 and np.mean(list(compared.values())) < 0.7 * len(x)
+    hits = 0
+    for q in compared:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argpartition(-scores, 20)[:20].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hits >= 0.9 * 20 * len(compared)
