@@ -43,21 +43,21 @@ def record_chunks(pages: DataFrame, *, least_bytes: int = 100) -> DataFrame:
     """One row per record and chunk: what the writer streams.
 
     The payload is the html in UTF-8 (null: empty). Of equal payloads of ``least_bytes`` or more the
-    one with the smallest page_id is a response, the others revisit it and carry no payload.
+    one with the smallest page_id is a response, the others revisit it and carry no payload. The cell
+    of the source is whole; from there on a row holds one chunk, in joins and sorts as well.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", body.alias("body")).withColumns({"digest": F.sha2("body", 256), "n": F.octet_length("body").cast("bigint")})
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", body.alias("body"))
+    rows = rows.withColumns({"digest": F.sha2("body", 256), "n": F.octet_length("body").cast("bigint")})
     # narrow and aggregated before the shuffle; only payloads that do recur meet the pages again
     firsts = rows.filter(F.col("n") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))
-    rows = rows.join(firsts.filter("copies > 1").drop("copies"), "digest", "left")
-    refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    cut = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK)).cast("int") - 1),
-        lambda i: F.struct(i.alias("chunk_no"), F.substring(F.col("body"), i * CHUNK + 1, F.lit(CHUNK)).alias("chunk")),
-    )
-    nothing = F.array(F.struct(F.lit(0).alias("chunk_no"), F.lit(b"").alias("chunk")))
-    return rows.withColumn("refers_to", refers).select(
-        "page_id", "url", "refers_to", "n", "digest", F.inline(F.when(F.col("refers_to").isNull(), cut).otherwise(nothing))
+    number = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK)).cast("int") - 1)).alias("chunk_no")
+    cut = rows.select("row", "page_id", "url", "digest", "n", "body", number).withColumn("chunk", F.substring(F.col("body"), F.col("chunk_no") * CHUNK + 1, F.lit(CHUNK)))
+    cut = cut.drop("body").join(firsts.filter("copies > 1").drop("copies"), "digest", "left")
+    cut = cut.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).filter("refers_to IS NULL OR chunk_no = 0")
+    # all chunks of a record have one digest and come from one task, so they lie in one partition
+    return cut.sortWithinPartitions("row", "chunk_no").select(
+        "page_id", "url", "refers_to", "n", "digest", "chunk_no", F.when(F.col("refers_to").isNull(), F.col("chunk")).otherwise(F.lit(b"")).alias("chunk")
     )
 
 
