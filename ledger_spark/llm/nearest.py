@@ -20,6 +20,7 @@ REPLICAS, BOUNDARY = 4, 1.004
 DEGREE, LEAST_EXPLORED = 16, 32
 BLOCK_BYTES, LEAST_BLOCKS = 4 << 20, 16  # postings lie in blocks of at most so many bytes of vectors
 QUERY_BYTES = 4 << 20  # of the queries compared with a block at once
+COMPARED_AT_ONCE = 1 << 21  # products that a task holds
 _RESULT = "query_id bigint, rank int, vec_id bigint, score double, compared bigint"
 
 
@@ -113,13 +114,21 @@ def _blocks(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(first), np.array(pieces)
 
 
-def _best_of(q: np.ndarray, x: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (query, vector) of all that may be among the ``kept`` best: rounding of the product and ties are left in."""
-    rough = q @ x.T
+def _best_of(q: np.ndarray, opened: list[np.ndarray], x: np.ndarray, lists: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (query, vector) of all that may be among the ``kept`` best of the lists each query opened.
+
+    ``lists`` names the list of each vector, in order. Rounding of the product and ties are left in.
+    """
+    rough = np.full((len(q), len(x)), -np.inf)
+    asking, wanted = np.repeat(np.arange(len(q)), [len(o) for o in opened]), np.concatenate(opened)
+    names, starts = np.unique(lists, return_index=True)
+    for name, a, b in zip(names, starts, np.append(starts[1:], len(x)), strict=True):
+        who = asking[wanted == name]
+        rough[who, a:b] = q[who] @ x[a:b].T
     kept = min(kept, len(x))
     low = np.partition(rough, len(x) - kept, axis=1)[:, len(x) - kept]
     slack = 1e-12 * np.sqrt((x**2).sum(1).max() * (q**2).sum(1))
-    return np.nonzero(rough >= (low - slack)[:, None])
+    return np.nonzero((rough >= (low - slack)[:, None]) & (rough > -np.inf))
 
 
 def _ranked(who: np.ndarray, score: np.ndarray, ids: np.ndarray, kept: int) -> np.ndarray:
@@ -266,19 +275,12 @@ def nearest(
             return pd.DataFrame(columns=["k1", "k2", "compared", "vec_id", "score"])
         posted = posted.sort_values("list", kind="stable")
         x, ids, q = _rows(posted), posted["ids"].to_numpy(), _rows(queries)
-        least = np.array([i[0] for i in ids])
-        names, starts = np.unique(posted["list"].to_numpy(), return_index=True)
-        ends = np.append(starts[1:], len(x))
-        asking_of = np.repeat(np.arange(len(queries)), [len(o) for o in queries["opened"]])
-        wanted = np.concatenate(list(queries["opened"]))
-        at, to = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for name, a, b in zip(names, starts, ends, strict=True):
-            who = asking_of[wanted == name]
-            for k in range(0, len(who), 1024):
-                if len(some := who[k : k + 1024]):
-                    i, j = _best_of(q[some], x[a:b], top + 1)
-                    at.append(some[i])
-                    to.append(j + a)
+        least, lists_of, opened = np.array([i[0] for i in ids]), posted["list"].to_numpy(), list(queries["opened"])
+        at, to, step = [], [], max(1, COMPARED_AT_ONCE // len(x))
+        for k in range(0, len(q), step):
+            i, j = _best_of(q[k : k + step], opened[k : k + step], x, lists_of, REPLICAS * (top + 1))
+            at.append(i + k)
+            to.append(j)
         at, to = np.concatenate(at), np.concatenate(to)
         score = np.concatenate([np.zeros(0), *((q[at[k : k + 8192]] * x[to[k : k + 8192]]).sum(axis=1) for k in range(0, len(at), 8192))])
         best = _ranked(at, score, least[to], top + 1)
