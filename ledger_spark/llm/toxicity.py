@@ -190,12 +190,13 @@ def _vectors(features: dict[str, int]):
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
-    examples: int = EXAMPLES, features: int = FEATURES, evidence: int = 3,
+    examples: int = EXAMPLES, features: int = FEATURES, evidence: int = 3, example_chars: int = EXAMPLE_CHARS,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence: array of (doc_id, label, cosine)) of each row.
 
-    Learned from at most ``examples`` labelled texts of at most EXAMPLE_CHARS together, the first by a
-    hash of the id, none of them held out: features are words and beginnings of words that tell the
+    Learned from at most ``examples`` labelled texts of at most ``example_chars`` together, the first by a
+    hash of the id, none of them held out (a text that no longer fits is passed over, and of unlike texts
+    with one id the smallest is taken): features are words and beginnings of words that tell the
     labels apart. Document frequencies are counted over all texts. A text is compared with the examples
     by the exact cosine of its TF-IDF vector; the nearest vote by nearness, and the votes are calibrated
     by isotonic regression on those of the examples without themselves.
@@ -211,13 +212,15 @@ def score_toxicity(
     given = given.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     given = given.groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-    taken = rows.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    total, kept = 0, []
-    for r in taken:
-        total += len(r["text"] or "")
-        if total > EXAMPLE_CHARS:
-            break
-        kept.append(r)
+    taken = rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    taken = stage(taken.withColumn("size", F.coalesce(F.length("text"), F.lit(0))), "examples")
+    total, fitting = 0, []
+    for r in taken.select("doc_id", "size").orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # <= ``examples`` rows of two numbers
+        if total + r["size"] <= example_chars:
+            total += r["size"]
+            fitting.append((r["doc_id"],))
+    chosen_ids = F.broadcast(spark.createDataFrame(fitting, "doc_id bigint"))
+    kept = taken.join(chosen_ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     texts, known = [r["text"] for r in kept], np.array([r["label"] for r in kept], np.int64)
     chosen = choose_features(texts, known, features) if kept else {}
 

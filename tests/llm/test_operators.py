@@ -378,3 +378,16 @@ def test_nearest_compares_with_opened_lists_only(spark):
         scores[q] = -np.inf
         hits += len(set(np.argpartition(-scores, 20)[:20].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
     assert hits >= 0.9 * 20 * len(compared)
+
+
+def test_toxicity_examples_that_do_not_fit_are_passed_over(spark):
+    rows = [(i, f"{PROSE[i % 50 : 400]} {'you awful scum' if i % 4 == 0 else 'fine day to all'}") for i in range(200)]
+    taken = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows += [(taken[3], "x" * 1_000_000)]  # the smaller of two texts with one id is the example
+    long_one = (500, "long " * 50_000)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(500, 1)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame([*rows, long_one], "doc_id bigint, text string")
+    for given in (docs, spark.createDataFrame([long_one, *rows[::-1]], "doc_id bigint, text string")):
+        got = toxicity.score_toxicity(given, labels, example_chars=200_000).filter("doc_id < 200").collect()
+        alike = {(r["doc_id"], r["predicted"]) for r in got if r["doc_id"] != taken[3]}
+        assert alike == {(i, int(i % 4 == 0)) for i in range(200) if i != taken[3]}
