@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ _SHARDS = pa.schema([
     ("shard", pa.int64()), ("lang", pa.string()), ("sign", pa.int64()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
     ("counts", pa.list_(pa.int64())), ("ids", pa.binary()),
 ])
-_PACKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("words", pa.list_(pa.binary())), ("n", pa.binary())])
-_PACKED_DDL = "block bigint, shard bigint, words array<binary>, n binary"
+_PACKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("words", pa.binary()), ("n", pa.binary())])
+_PACKED_DDL = "block bigint, shard bigint, words binary, n binary"
 _SHARDS_DDL = "shard bigint, lang string, sign bigint, n_words bigint, words array<string>, counts array<bigint>, ids binary"
 
 
@@ -132,6 +134,18 @@ def _expand(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T.copy().view(">i8").ravel().astype(np.int64))
 
 
+def _bundle(columns: Iterable[np.ndarray]) -> bytes:
+    """Columns of whole numbers as one value: Spark's Arrow writer takes much longer for every row that has a list of values."""
+    parts = [_squeeze(c) for c in columns]
+    return struct.pack(f"<{len(parts) + 1}I", len(parts), *map(len, parts)) + b"".join(parts)
+
+
+def _columns(data: bytes) -> list[np.ndarray]:
+    m = struct.unpack_from("<I", data)[0]
+    ends = list(accumulate(struct.unpack_from(f"<{m}I", data, 4), initial=4 * (m + 1)))
+    return [_expand(data[a:b]) for a, b in pairwise(ends)]
+
+
 def _packed(phrases: np.ndarray, words: np.ndarray, counts: np.ndarray, shard: int, blocks: int) -> Iterator[tuple]:
     """Rows (block, shard, words, n) of one shard's ``phrases`` (rows of places in ``words``), all of one length.
 
@@ -148,7 +162,7 @@ def _packed(phrases: np.ndarray, words: np.ndarray, counts: np.ndarray, shard: i
     by_block = np.argsort(block, kind="stable")
     for some in np.split(by_block, np.flatnonzero(np.diff(block[by_block])) + 1):
         if len(some):
-            yield int(block[some[0]]) + m * blocks, shard, [_squeeze(c[some]) for c in columns], _squeeze(counts[some])
+            yield int(block[some[0]]) + m * blocks, shard, _bundle(c[some] for c in columns), _squeeze(counts[some])
 
 
 def _words_of(shard: pa.Table, listed: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +195,7 @@ def _sum_blocks(min_count: int, tell_shards: bool):
 
         With ``tell_shards`` each shard also gets a row of those of its own that are frequent.
         """
-        own = [([_expand(c) for c in words], _expand(n)) for words, n in zip(rows.column("words").to_pylist(), rows.column("n").to_pylist(), strict=True)]
+        own = [(_columns(words), _expand(n)) for words, n in zip(rows.column("words").to_pylist(), rows.column("n").to_pylist(), strict=True)]
         columns = [np.concatenate(c) for c in zip(*(words for words, _ in own), strict=True)]
         key = np.zeros(len(columns[0]), np.int64)
         for column in columns:
@@ -192,13 +206,13 @@ def _sum_blocks(min_count: int, tell_shards: bool):
         first = np.empty(len(sums), np.int64)
         first[key[::-1]] = np.arange(len(key))[::-1]
         enough = sums >= min_count
-        out = [(None, -1, [_squeeze(c[first][enough]) for c in columns], _squeeze(sums[enough]))]
+        out = [(None, -1, _bundle(c[first][enough] for c in columns), _squeeze(sums[enough]))]
         at = 0
         for shard, (_, n) in zip(rows.column("shard").to_pylist(), own, strict=True) if tell_shards else ():
             keep = np.flatnonzero(enough[key[at : at + len(n)]]) + at
             at += len(n)
             if len(keep):
-                out.append((None, shard, [_squeeze(c[keep]) for c in columns], None))
+                out.append((None, shard, _bundle(c[keep] for c in columns), None))
         return _rows(out)
 
     return run
@@ -213,7 +227,7 @@ def _phrase_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed phrases and sums as rows (phrase, f)."""
     for batch in batches:
         for row in batch.to_pylist():
-            phrases = np.column_stack([_expand(c) for c in row["words"]])
+            phrases = np.column_stack(_columns(row["words"]))
             n, m = phrases.shape
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * m + 1, m), pa.int32()), pa.array(phrases.ravel(), pa.int64()))
             yield pa.RecordBatch.from_arrays([lists, pa.array(_expand(row["n"]), pa.int64())], ["phrase", "f"])
@@ -238,7 +252,7 @@ def _count_longer(max_words: int, blocks: int):
         pairs = lists.filter(pc.is_valid(lists.column("words"))).column("words").to_pylist()
         if shard.num_rows and pairs:
             text, words = _words_of(shard, lists.filter(pc.is_valid(lists.column("word"))))
-            a, b = (np.searchsorted(words, np.concatenate([_expand(part) for part in parts])) + 1 for parts in zip(*pairs, strict=True))
+            a, b = (np.searchsorted(words, np.concatenate(parts)) + 1 for parts in zip(*map(_columns, pairs), strict=True))
             sign = shard.column("sign")[0].as_py()
             for found in BidirectionalIndex(_keep_runs(text, a, b), max_words).phrases(least=3):
                 rows += _packed(found.words - 1, words, sign * found.size, shard.column("shard")[0].as_py(), blocks)
