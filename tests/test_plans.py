@@ -79,6 +79,14 @@ def test_rows_without_a_matching_rule_are_not_shuffled(spark):
     assert matching.match_keys(rows, index).count() == 0
 
 
+def test_a_text_is_probed_once_however_many_rows_have_it(spark, monkeypatch):
+    index, rows, seen = matching.index_rules(pattern_rules(spark, 100)), hot_rows(spark), []
+    probes = matching.candidate_probes
+    monkeypatch.setattr(matching, "candidate_probes", lambda keys, *a, **k: seen.append(keys.count()) or probes(keys, *a, **k))
+    matching.match_keys(rows, index)
+    assert seen == [rows.select(*matching.MATCH_KEY).distinct().count()] and seen[0] < 10_000
+
+
 def test_projections_do_not_shuffle(spark, small_folder, as_of, capsys):
     rows = fixtures.transactions(spark, small_folder)
     assert "Exchange" not in plan_of(apply_fallback(cleanse_transactions(rows), as_of), capsys)
