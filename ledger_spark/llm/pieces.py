@@ -1,25 +1,25 @@
-"""SentencePiece encoding and decoding as a relational lattice."""
+"""SentencePiece encoding and decoding of whole texts, unit by unit."""
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stage
-
 MARK = "▁"
-LONGEST_UNIT = 4_096  # characters; a longer run without a space is cut there
-HEAD = 500_000  # most frequent units, which tasks look up themselves
-_UNIT = f"\\n|{MARK}+[^{MARK}\\n]{{0,{LONGEST_UNIT}}}|[^{MARK}\\n]{{1,{LONGEST_UNIT}}}"
-_NONE = 2_000_000_000
+HELD = 200_000  # units that a task's table holds; it starts anew beyond that
+_SHORT = 64  # characters of a unit that is joined by scanning, and kept
+_UNIT = f"\\n|{MARK}+[^{MARK}\\n]*|[^{MARK}\\n]+"
+_NONE = float("inf")
 
 #: Fixed values of the model format: field numbers and kinds.
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
@@ -37,11 +37,6 @@ class PieceTable:
     def first_byte(self) -> int:
         return next(i for i, p, _, k in self.pieces if k == _BYTE and p == "<0x00>")
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        """(piece, id, cost) of the pieces that text can hold; a few ten thousand rows."""
-        rows = [(p, i, -float(s)) for i, p, s, k in self.pieces if k in (_NORMAL, _USER)]
-        return spark.createDataFrame(rows, "piece string, piece_id int, cost double")
-
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
     """(number, value) of each field of a protocol buffer message."""
@@ -81,190 +76,130 @@ def read_model(data: bytes) -> PieceTable:
     return PieceTable(tuple(pieces), kind)
 
 
-def _marked(text: Column) -> Column:
-    """Spaces made visible, with one before the text."""
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK))))
-
-
-def units_of(text: Column) -> Column:
-    """Parts of a text that no piece crosses: a run of spaces with the word behind it, or a line break."""
-    return F.regexp_extract_all(_marked(text), F.lit(_UNIT), 0)
-
-
-def _edge(edges: Column, start: Column, end: Column, field: str) -> Column:
-    """Field of the edge from ``start`` to ``end``, or null."""
-    return F.get(edges[field], F.array_position(edges["span"], start * (LONGEST_UNIT * 4) + end).cast("int") - 1)
-
-
-def _merge(unit: Column, edges: Column) -> Column:
-    """Cut positions after joining neighbours by the least cost, leftmost first, until none fits."""
-    n = F.length(unit)
-    cost = lambda a, b: F.coalesce(_edge(edges, a, b, "cost"), F.lit(float(_NONE)))
-    start = F.struct(
-        F.sequence(F.lit(0), n).alias("cuts"),
-        F.when(n < 2, F.array().cast("array<double>")).otherwise(F.transform(F.sequence(F.lit(0), n - 2), lambda i: cost(i, i + 2))).alias("costs"),
-    )
-
-    def step(s: Column, _: Column) -> Column:
-        cuts, costs = s["cuts"], s["costs"]
-
-        def join(k: Column) -> Column:  # the pair at k (from 1) becomes one
-            left, right = F.get(cuts, k - 2), F.get(cuts, k + 2)
-            begin, end = F.get(cuts, k - 1), F.get(cuts, k + 1)
-            before = F.when(k > 1, F.concat(F.slice(costs, F.lit(1), F.greatest(k - 2, F.lit(0))), F.array(cost(left, end)))).otherwise(F.slice(costs, F.lit(1), F.lit(0)))
-            after = F.when(k < F.size(costs), F.concat(F.array(cost(begin, right)), F.slice(costs, k + 2, F.size(costs)))).otherwise(F.slice(costs, F.lit(1), F.lit(0)))
-            return F.struct(F.concat(F.slice(cuts, F.lit(1), k), F.slice(cuts, k + 2, F.size(cuts))).alias("cuts"), F.concat(before, after).alias("costs"))
-
-        least = F.array_min(costs)
-        return F.when(F.coalesce(least, F.lit(float(_NONE))) >= _NONE, s).otherwise(let(F.array_position(costs, least).cast("int"), join))
-
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, step)["cuts"]
-
-
-def _viterbi(unit: Column, edges: Column, longest: int) -> Column:
-    """Cut positions of the path of least cost; a character without a piece costs more than any piece."""
-    n = F.length(unit)
-    unknown = F.coalesce(F.array_max(edges["cost"]), F.lit(0.0)) + 10.0
-    start = F.struct(F.array(F.lit(0.0)).alias("best"), F.array(F.lit(0)).alias("back"))
-
-    def step(s: Column, end: Column) -> Column:
-        def arrive(a: Column) -> Column:
-            own = F.when(end - a == 1, F.coalesce(_edge(edges, a, end, "cost"), unknown)).otherwise(_edge(edges, a, end, "cost"))
-            return F.struct((F.get(s["best"], a) + own).alias("cost"), a.alias("from"))
-
-        ways = F.filter(F.transform(F.sequence(F.greatest(end - longest, F.lit(0)), end - 1), arrive), lambda w: w["cost"].isNotNull())
-        return let(F.array_min(ways), lambda w: F.struct(F.concat(s["best"], F.array(w["cost"])).alias("best"), F.concat(s["back"], F.array(w["from"])).alias("back")))
-
-    back = F.aggregate(F.sequence(F.lit(1), n), start, step)["back"]
-
-    def walk(back: Column) -> Column:
-        last = lambda p: F.element_at(p, -1)
-        path = F.aggregate(F.sequence(F.lit(1), n), F.array(n), lambda p, _: F.when(last(p) == 0, p).otherwise(F.concat(p, F.array(F.get(back, last(p))))))
-        return F.reverse(path)
-
-    return let(back, walk)
-
-
-def segment_units(units: DataFrame, table: PieceTable) -> DataFrame:
-    """(unit, n, ids) of distinct ``units`` (unit, n: how often it occurs).
-
-    All substrings of a unit up to the longest piece are exploded, joined to the piece table by equality
-    (a bounded table, so broadcast) and grouped by unit: the lattice. A fold over it gives the cuts: the
-    best path for a unigram model, joining by score for a BPE model. Characters without a piece become
-    the ids of their bytes. Units arrive partitioned by unit, so grouping their edges moves nothing.
-    """
-    longest = max(len(p) for _, p, _, k in table.pieces if k in (_NORMAL, _USER))
-    n = F.length("unit")
-    spans = F.explode(F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 1), lambda a: F.transform(F.sequence(a + 1, F.least(a + longest, n)), lambda b: F.struct(a.alias("a"), b.alias("b")))
-    )))
-    cut = units.select("unit", "n", spans.alias("s")).select("unit", "n", "s", F.substring(F.col("unit"), F.col("s.a") + 1, F.col("s.b") - F.col("s.a")).alias("piece"))
-    edges = cut.join(F.broadcast(table.frame(units.sparkSession)), "piece", "left").filter("piece_id IS NOT NULL OR s.b = s.a + 1")
-    edge = F.struct((F.col("s.a") * (LONGEST_UNIT * 4) + F.col("s.b")).alias("span"), "cost", "piece_id")
-    lattice = edges.groupBy("unit").agg(F.first("n").alias("n"), F.collect_list(F.when(F.col("piece_id").isNotNull(), edge)).alias("e"))
-    unit, e = F.col("unit"), F.col("e")
-    columns = F.struct(*[e[c].alias(c) for c in ("span", "cost", "piece_id")])
-
-    def ids(held: Column) -> Column:
-        edges = held
-        cuts = _merge(unit, edges) if table.kind == _BPE else _viterbi(unit, edges, longest)
-
-        def of(cuts: Column) -> Column:
-            def one(i: Column) -> Column:
-                a, b = F.get(cuts, i), F.get(cuts, i + 1)
-                char = F.hex(F.encode(F.substring(unit, a + 1, F.lit(1)), "utf-8"))
-                as_bytes = F.transform(
-                    F.sequence(F.lit(0), F.shiftright(F.length(char), 1) - 1), lambda j: F.conv(F.substring(char, 2 * j + 1, F.lit(2)), 16, 10).cast("int") + table.first_byte
-                )
-                found = _edge(edges, a, b, "piece_id")
-                return F.when(found.isNotNull(), F.array(found)).otherwise(as_bytes)
-
-            return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), one))
-
-        return let(cuts, of)
-
-    return lattice.select("unit", "n", let(columns, ids).alias("ids"))
-
-
-def _look_up(sent):
-    """Batches (row, doc_id, units) to (row, doc_id, ids of known units and -1 for others, the others with their places)."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text_crc32", pa.int64()), ("ids", pa.binary()), ("at", pa.list_(pa.int32())), ("unknown", pa.list_(pa.string()))])
+class _Segmenter:
+    """Ids of units, as the model's rule cuts them: joined by score (BPE) or along the best path (unigram)."""
+
+    def __init__(self, table: PieceTable):
+        known = [(p, i, -float(s)) for i, p, s, k in table.pieces if k in (_NORMAL, _USER)]
+        self.ids, self.costs = {p: i for p, i, _ in known}, {p: c for p, _, c in known}
+        self.first_byte = table.first_byte
+        self.longest = max(len(p) for p in self.ids)
+        self.cut = self._path if table.kind != _BPE else self._joined
+
+    def __call__(self, unit: str) -> bytes:
+        out: list[int] = []
+        for part in self.cut(unit):
+            found = self.ids.get(part)
+            if found is None:  # a character without a piece goes as its bytes
+                out += [self.first_byte + byte for byte in part.encode()]
+            else:
+                out.append(found)
+        return struct.pack(f"<{len(out)}i", *out)
+
+    def _joined(self, unit: str) -> list[str]:
+        """Parts after joining neighbours by the least cost, leftmost first, until none fits."""
+        if len(unit) > _SHORT:
+            return self._joined_long(unit)
+        get, parts = self.costs.get, list(unit)
+        costs = [get(a + b, _NONE) for a, b in pairwise(parts)]
+        while costs:
+            least = min(costs)
+            if least == _NONE:
+                break
+            k = costs.index(least)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del costs[k]
+            if k < len(costs):
+                costs[k] = get(parts[k] + parts[k + 1], _NONE)
+            if k:
+                costs[k - 1] = get(parts[k - 1] + parts[k], _NONE)
+        return parts
+
+    def _joined_long(self, unit: str) -> list[str]:
+        """The same with a heap of pairs, for units of any length; a part is known by where it begins."""
+        n, get = len(unit), self.costs.get
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(c, a, a + 2) for a in range(n - 1) if (c := get(unit[a : a + 2])) is not None]
+        heapify(heap)
+        gone = bytearray(n)
+        while heap:
+            _, a, end = heappop(heap)
+            if gone[a] or ends[a] == n or ends[ends[a]] != end:
+                continue  # one of the two was joined otherwise meanwhile
+            gone[ends[a]], ends[a] = 1, end
+            if end < n:
+                before[end] = a
+                if ends[end] - a <= self.longest and (c := get(unit[a : ends[end]])) is not None:
+                    heappush(heap, (c, a, ends[end]))
+            if a and end - before[a] <= self.longest and (c := get(unit[before[a] : end])) is not None:
+                heappush(heap, (c, before[a], end))
+        return [unit[a : ends[a]] for a in range(n) if not gone[a]]
+
+    def _path(self, unit: str) -> list[str]:
+        """The path of least cost through the lattice of pieces; a character without one costs more than any piece."""
+        n, get = len(unit), self.costs.get
+        edges = [[(a, c) for a in range(max(0, end - self.longest), end) if (c := get(unit[a:end])) is not None] for end in range(1, n + 1)]
+        unknown = max((c for some in edges for _, c in some), default=0.0) + 10.0
+        best, back = [0.0], [0]
+        for end, some in enumerate(edges, 1):
+            ways = [(best[a] + c, a) for a, c in some]
+            if not some or some[-1][0] != end - 1:
+                ways.append((best[end - 1] + unknown, end - 1))
+            cost, a = min(ways)
+            best.append(cost)
+            back.append(a)
+        cuts = [n]
+        while cuts[-1]:
+            cuts.append(back[cuts[-1]])
+        return [unit[a:b] for a, b in pairwise(cuts[::-1])]
+
+
+def _encode_texts(table: PieceTable):
+    """Batches (doc_id, text_crc32, text) to (doc_id, text_crc32, ids). A task cuts each unit once while its table of units holds it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, bytes] = cloudpickle.loads(sent.value)
-        hole = struct.pack("<i", -1)
+        segment, find, known = _Segmenter(table), re.compile(_UNIT).findall, {}
+
+        def ids_of(text: str | None) -> bytes:
+            if not text:
+                return b""
+            units = find(MARK + text.replace(" ", MARK))
+            found = [known.get(u) for u in units]
+            if None in found:
+                if len(known) > HELD:
+                    known.clear()
+                for i, u in enumerate(units):
+                    if found[i] is None:
+                        own = known.get(u)
+                        if own is None:
+                            own = segment(u)
+                            if len(u) <= _SHORT:
+                                known[u] = own
+                        found[i] = own
+            return b"".join(found)
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids, places, unknown = [], [], []
-                for units in part.column(3).to_pylist():
-                    found = [known.get(u) for u in units]
-                    holes = [i for i, f in enumerate(found) if f is None]
-                    places.append(holes)
-                    unknown.append([units[i] for i in holes])
-                    ids.append(b"".join([hole if f is None else f for f in found]))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(ids, pa.binary()), pa.array(places, pa.list_(pa.int32())), pa.array(unknown, pa.list_(pa.string()))], schema=schema
-                )
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = pa.array([ids_of(t) for t in part.column(2).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], ["doc_id", "text_crc32", "ids"])
 
     return run
 
 
-def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, ids, places, found) to (doc_id, ids) with every hole filled."""
-    for batch in batches:
-        out = []
-        for ids, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            if not found:
-                out.append(np.frombuffer(ids, "<i4"))
-                continue
-            parts = np.frombuffer(ids, "<i4")
-            holes = np.flatnonzero(parts == -1)
-            by_place = [f["ids"] for f in sorted(found, key=lambda f: f["at"])]
-            pieces, last = [], 0
-            for hole, own in zip(holes.tolist(), by_place, strict=True):
-                pieces += [parts[last:hole], np.array(own, "<i4")]
-                last = hole + 1
-            out.append(np.concatenate([*pieces, parts[last:]]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([o.tobytes() for o in out], pa.binary())], ["doc_id", "text_crc32", "ids"])
-
-
 def encode(docs: DataFrame, table: PieceTable, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_crc32, ids: little-endian 32-bit ids as bytes) of each row; the checksum is that of the text that decoding should give.
 
-    Texts are cut into units; distinct units are segmented once (``segment_units``). The HEAD most
-    frequent ones are looked up by the tasks that read the texts; the others are joined by unit and put
-    back by row. A null or empty text has no ids. Whole texts are encoded; a run of more than
-    LONGEST_UNIT characters without a space is segmented in parts of that length. Each row is encoded by
-    itself, so repeated rows and null ids are as good as any; other columns are not read.
+    Texts are cut into units that no piece crosses: a run of spaces with the word behind it, or a line
+    break. The tasks that read the texts cut the units, each distinct one once while a bounded table
+    holds it; nothing is shuffled or written in between. Characters without a piece become the ids of
+    their bytes. A null or empty text has no ids; whole texts are encoded, units of any length as one.
+    Each row is encoded by itself, so repeated rows and null ids are as good as any; other columns are not read.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    plain = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit(MARK), F.lit(" "))
-    rows = rows.withColumn("text_crc32", F.crc32(plain.cast("binary")))
-    counts = docs.select(F.explode(units_of(F.col(text_column))).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
-    known = stage(segment_units(counts, table), "units")
-    sizes = known.groupBy(F.floor(F.log2("n") * 8).alias("level")).agg(F.count("*").alias("units")).orderBy(F.desc("level")).collect()  # some 300 rows
-    total, least = 0, None
-    for r in sizes:
-        total += r["units"]
-        if total > HEAD:
-            break
-        least = r["level"]
-    is_head = F.floor(F.log2("n") * 8) >= F.lit(2**30 if least is None else least)
-    head = known.filter(is_head).select("unit", "ids").toLocalIterator(prefetchPartitions=True)
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps({r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in head}))
-
-    looked = rows.select("row", "doc_id", "text_crc32", units_of(F.col("text")).alias("units")).mapInArrow(
-        _look_up(sent), "row bigint, doc_id bigint, text_crc32 bigint, ids binary, at array<int>, unknown array<string>"
-    )
-    looked = stage(looked, "looked-up")
-    rest = looked.filter(F.size("unknown") > 0).select("row", F.inline(F.arrays_zip("at", F.col("unknown").alias("unit"))))
-    rest = rest.toDF("row", "at", "unit").join(known.filter(~is_head).select("unit", F.col("ids").alias("found")), "unit")
-    filled = rest.groupBy("row").agg(F.collect_list(F.struct("at", F.col("found").alias("ids"))).alias("found"))
-    return looked.select("row", "doc_id", "text_crc32", "ids").join(filled, "row", "left").select(
-        "doc_id", "text_crc32", "ids", "found"
-    ).mapInArrow(_fill, "doc_id bigint, text_crc32 bigint, ids binary")
+    text = F.col(text_column)
+    plain = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.crc32(plain.cast("binary")).alias("text_crc32"), text.alias("text"))
+    return rows.mapInArrow(_encode_texts(table), "doc_id bigint, text_crc32 bigint, ids binary")
 
 
 def _decoder(table: PieceTable):

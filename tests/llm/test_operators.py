@@ -188,6 +188,19 @@ def test_fill_windows_uses_every_piece_once():
     assert used == counts
 
 
+def test_pieces_of_long_runs_without_a_shuffle(spark):
+    import sentencepiece
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        data = f.read()
+    table, library = pieces.read_model(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = ["the" * 3000 + "rein" * 700, " " * 5000 + "x", "aé漢" * 1500, "plain words", "", None]
+    encoded = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), table)
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<i4").tolist() for r in encoded.collect()}
+    assert got == {i: library.encode(t or "") for i, t in enumerate(texts)}  # runs were cut at 4,096 characters
+    assert "Exchange" not in encoded._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("kind", ["bpe", "unigram"])
 def test_pieces_like_the_library(docs, kind):
     import sentencepiece
