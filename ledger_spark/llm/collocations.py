@@ -21,7 +21,7 @@ PIECE_END = r"[.,;:!?\x0A-\x0D]"
 SPACES = r"[\x20\x09]+"
 NO_LANGUAGE = "und"
 _SHARD_WORDS = 500_000
-_BLOCK_WORDS = 1_500_000  # one task sums a block of the phrases of a length, which are at most as many as words
+_BLOCK_WORDS = 1_000_000  # one task sums a block of the phrases of a length, which are at most as many as words
 _HELD_WORDS = 4 * _SHARD_WORDS
 _ROWS_A_STEP = 512
 
@@ -197,18 +197,19 @@ def _sum_blocks(min_count: int, tell_shards: bool):
         """
         own = [(_columns(words), _expand(n)) for words, n in zip(rows.column("words").to_pylist(), rows.column("n").to_pylist(), strict=True)]
         columns = [np.concatenate(c) for c in zip(*(words for words, _ in own), strict=True)]
+        own = [n for _, n in own]
         key = np.zeros(len(columns[0]), np.int64)
         for column in columns:
             _, rank = np.unique(column, return_inverse=True)
             _, key = np.unique((key << 32) | rank, return_inverse=True)
         sums = np.zeros(int(key.max()) + 1, np.int64)
-        np.add.at(sums, key, np.concatenate([n for _, n in own]))
+        np.add.at(sums, key, np.concatenate(own))
         first = np.empty(len(sums), np.int64)
         first[key[::-1]] = np.arange(len(key))[::-1]
         enough = sums >= min_count
         out = [(None, -1, _bundle(c[first][enough] for c in columns), _squeeze(sums[enough]))]
         at = 0
-        for shard, (_, n) in zip(rows.column("shard").to_pylist(), own, strict=True) if tell_shards else ():
+        for shard, n in zip(rows.column("shard").to_pylist(), own, strict=True) if tell_shards else ():
             keep = np.flatnonzero(enough[key[at : at + len(n)]]) + at
             at += len(n)
             if len(keep):

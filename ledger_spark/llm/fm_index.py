@@ -53,12 +53,12 @@ class _Direction:
     """Order, Burrows-Wheeler transform and last-to-first map of one reading direction."""
 
     def __init__(self, words: np.ndarray, depth: int):
-        self.order = suffix_order(words, depth)
-        self.before = words[self.order - 1]
+        self.order = suffix_order(words, depth).astype(np.int32)  # a shard's positions and words fit
+        self.before = words[self.order - 1].astype(np.int32)
         self.before[self.order == 0] = 0
         by_word, _ = _sorted_slots(self.before, np.zeros(len(words), np.int64))
-        self.first = np.empty(len(words), np.int64)
-        self.first[by_word] = np.arange(len(words))
+        self.first = np.empty(len(words), np.int32)
+        self.first[by_word] = np.arange(len(words), dtype=np.int32)
 
     def extend(self, low: np.ndarray, other: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
         """All extensions of intervals by a word in front: (parent, word, low, other, size) of each.
@@ -113,17 +113,17 @@ class BidirectionalIndex:
         low = np.cumsum(self.counts) - self.counts
         present = np.flatnonzero(self.counts)
         present = present[present > 0]
-        return Phrases(low[present], low[present], self.counts[present], present[:, None])
+        return Phrases(low[present], low[present], self.counts[present], present[:, None].astype(np.int32))
 
     def extend_left(self, phrases: Phrases) -> Phrases:
         """Every phrase with one more word in front that occurs."""
         parent, word, forward, backward, size = self.ahead.extend(phrases.forward, phrases.backward, phrases.size)
-        return Phrases(forward, backward, size, np.column_stack((word, phrases.words[parent])))
+        return Phrases(forward, backward, size, np.column_stack((word.astype(np.int32), phrases.words[parent])))
 
     def extend_right(self, phrases: Phrases) -> Phrases:
         """Every phrase with one more word behind that occurs."""
         parent, word, backward, forward, size = self.back.extend(phrases.backward, phrases.forward, phrases.size)
-        return Phrases(forward, backward, size, np.column_stack((phrases.words[parent], word)))
+        return Phrases(forward, backward, size, np.column_stack((phrases.words[parent], word.astype(np.int32))))
 
     def phrases(self, least: int = 1) -> Iterator[Phrases]:
         """All phrases of ``least`` to ``depth`` words, length by length, grown on the right and on the left in turn."""
