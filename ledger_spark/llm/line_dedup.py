@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PRIVATE, stage
+from .common import PRIVATE, let, stage
 
 PERCENT = 80
 RARITY_SHARE = 65_536  # words above this share of all words get a rarity level of their own
 _LEVEL_BITS = 4
-_CROWDED = 16  # sets that share a prefix word: from here on the earliest of them is compared with the others first
-_BROADCAST_LINES = 1_000_000  # some 40 MB
+_WORD_GROUPS = 1 << 17  # words are counted by so many groups of their codes
+_CODE = 0x7FFFFFFF  # the part of a word's code that prefixes hold: words that share it only make more pairs to compare
+_CROWDED = 64  # sets that share one of their rarest words: from here on the earliest of them is compared with the others first
+_RAREST = 4  # words by which that is done: nearly all sets of a family of near copies share one of them
+_BROADCAST_LINES = 1_000_000  # some 60 MB
 _NO_ID = -(2**63)
 _ID, _TK, _REMOVED = PRIVATE + "id", PRIVATE + "tk", PRIVATE + "removed"
 
@@ -22,10 +25,10 @@ def _key(id_column: str, text_column: str) -> tuple[Column, Column]:
 
 
 def _words(text: Column) -> Column:
-    """Lower-case words of a text, found by plain searches for ASCII white space."""
+    """Lower-case words of a text, found by plain searches for ASCII white space, with empty strings between them."""
     for space in "\t\n\x0b\f\r":
         text = F.replace(text, F.lit(space), F.lit(" "))
-    return F.array_remove(F.split(F.lower(text), " ", -1), "")
+    return F.split(F.lower(text), " ", -1)
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -35,49 +38,69 @@ def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(id_.alias("id"), tk.alias("tk"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
 
 
+def _code(word: Column) -> Column:
+    """59 bits for a word."""
+    return F.shiftrightunsigned(F.xxhash64(word), _LEVEL_BITS + 1)
+
+
 def _rarity_levels(docs: DataFrame, text_column: str) -> list[list[int]]:
-    """Hashes of the frequent words, most frequent level first; counted over all texts.
+    """Groups of the frequent words, most frequent level first; counted over all texts.
 
-    A level spans a factor of four in frequency. At most RARITY_SHARE words can have their share.
+    A word's group is the last bits of its code. A level spans a factor of four in frequency. At most
+    RARITY_SHARE groups can have their share.
     """
     words = docs.select(F.explode(_words(F.coalesce(F.col(text_column), F.lit("")))).alias("w"))
-    counts = stage(words.select(F.xxhash64("w").alias("h")).groupBy("h").agg(F.count("*").alias("n")), "word-counts")
+    group = _code(F.col("w")).bitwiseAND(F.lit(_WORD_GROUPS - 1))
+    counts = stage(words.groupBy(group.alias("g")).agg(F.count("*").alias("n")), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     level = F.floor(F.log2(F.col("n") * RARITY_SHARE / F.lit(max(1, total))) / 2).cast("int")
-    frequent = counts.filter(F.col("n") * RARITY_SHARE >= total).select("h", level.alias("level")).collect()  # <= RARITY_SHARE rows
+    frequent = counts.filter(F.col("n") * RARITY_SHARE >= total).select("g", level.alias("level")).collect()  # <= RARITY_SHARE rows
     levels: dict[int, list[int]] = {}
-    for h, at in frequent:
-        levels.setdefault(at, []).append(h)
+    for g, at in frequent:
+        levels.setdefault(at, []).append(g)
     return [levels[at] for at in sorted(levels, reverse=True)]
 
 
-def _codes(line: Column, levels: list[list[int]]) -> Column:
-    """The distinct words of a line as numbers that sort from rare to frequent."""
+def _codes(line: Column) -> Column:
+    """The distinct words of a line as sorted codes."""
+    return F.array_remove(F.array_distinct(F.sort_array(F.transform(_words(line), _code))), _code(F.lit("")))
+
+
+def _rarest(codes: Column, count: Column, levels: list[list[int]]) -> Column:
+    """The ``count`` rarest of the sorted codes, rarest first, by one order for all lines: level, then code."""
+    group = lambda c: c.bitwiseAND(F.lit(_WORD_GROUPS - 1))
 
-    def ranked(h: Column) -> Column:
+    def ranked(c: Column) -> Column:
         rank = F.lit(0)
         for i, some in reversed(list(enumerate(levels))):
-            rank = F.when(h.isin(some), F.lit(len(levels) - i)).otherwise(rank)
-        return F.shiftleft(rank.cast("bigint"), 63 - _LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, _LEVEL_BITS + 1))
+            rank = F.when(group(c).isin(some), F.lit(len(levels) - i)).otherwise(rank)
+        return F.shiftleft(rank.cast("bigint"), 63 - _LEVEL_BITS).bitwiseOR(c)
 
-    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, ranked)))
+    def rare(some: Column) -> Column:
+        return F.filter(some, lambda c: ~group(c).isin([g for level in levels for g in level]))
+
+    def enough(some: Column) -> Column:
+        return let(rare(some), lambda r: F.when(F.size(r) >= count, F.slice(r, F.lit(1), count)))
+
+    # most lines have enough codes below all levels, and among their first ones
+    return F.coalesce(enough(F.slice(codes, F.lit(1), 3 * count)), F.slice(F.sort_array(F.transform(codes, ranked)), F.lit(1), count))
 
 
 def _described(docs: DataFrame, levels: list[list[int]], percent: int, id_column: str, text_column: str) -> DataFrame:
-    """All lines with a word, written once: (id, tk, line_no, n, k1, k2, bits0, bits1, prefix).
+    """All lines with a word, written once: (sid, id, tk, line_no, n, k1, k2, bits0, bits1, prefix).
 
-    n is the size of a line's set, (k1, k2) a 128-bit key of it. Two sets at the limit share a word among
-    their rarest n - ceil(limit * n) + 1, the prefix. Sets of up to three words or so are similar to equal
-    ones only and have no prefix.
+    sid numbers the rows, n is the size of a line's set, (k1, k2) a 128-bit key of it. Two sets at the limit
+    share a word among their rarest n - ceil(limit * n) + 1, the prefix. Sets of up to three words or so are
+    similar to equal ones only and have no prefix.
     """
-    lines = _lines(docs, id_column, text_column).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    coded = lines.select("id", "tk", "line_no", _codes(F.col("line"), levels).alias("codes"))
+    # numbered before those without a word go, or Spark would make the codes once more for that filter
+    coded = _lines(docs, id_column, text_column).select(F.monotonically_increasing_id().alias("sid"), "id", "tk", "line_no", _codes(F.col("line")).alias("codes"))
     n = F.size("codes")
-    prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
+    count = n - F.ceil(n * percent / 100).cast("int") + 1
     joins = 100 * n >= percent * (n + 1)
-    return stage(coded.select(
-        "id", "tk", "line_no", n.alias("n"), F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), F.col("codes")).alias("k2"),
+    prefix = F.transform(_rarest(F.col("codes"), count, levels), lambda c: c.bitwiseAND(F.lit(_CODE)).cast("int"))
+    return stage(coded.filter(n > 0).select(
+        "sid", "id", "tk", "line_no", n.alias("n"), F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), F.col("codes")).alias("k2"),
         *[F.when(joins, _parity(F.col("codes"), i)).alias(f"bits{i}") for i in range(2)], F.when(joins, prefix).alias("prefix"),
     ), "lines")
 
@@ -108,57 +131,57 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= _BROADCAST_LINES else rows
 
 
-def _later_of(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, levels: list[list[int]], percent: int,
-              id_column: str, text_column: str) -> DataFrame:
-    """k1 of the later set of each pair (a, b) of similar ones; verified on all words.
+def _later_of(docs: DataFrame, pairs: DataFrame, lines: DataFrame, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """sid of the later set of each pair (a, b) of similar ones; verified on all words.
 
     Words come from each set's first line, of documents that have such a line.
-    """
+    """
     pairs = stage(pairs.distinct(), "line-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
-    ends = stage(firsts.join(ends, "k1", "left_semi").select("k1", "first.id", "first.tk", "first.line_no"), "line-ends")
-    ends = _small(ends)
+    ends = _small(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+    ends = _small(stage(lines.select("sid", "id", "tk", "line_no").join(ends, "sid", "left_semi"), "line-ends"))
     id_, tk = _key(id_column, text_column)
     holders = ends.select(F.col("id").alias(_ID), F.col("tk").alias(_TK))
     some = docs.withColumns({_ID: id_, _TK: tk}).join(holders, [_ID, _TK], "left_semi")
-    lines = _lines(some, id_column, text_column).join(ends, ["id", "tk", "line_no"])
-    sets = lines.select("k1", F.struct("id", "tk", "line_no", "k1").alias("place"), _codes(F.col("line"), levels).alias("codes"))
-    sets = stage(sets.dropDuplicates(["k1", "place"]), "line-sets")
-    x, y = (sets.select(F.col("k1").alias(c), F.col("place").alias(f"place_{c}"), F.col("codes").alias(f"codes_{c}")) for c in ("a", "b"))
+    found = _lines(some, id_column, text_column).join(ends, ["id", "tk", "line_no"])
+    sets = found.select("sid", F.struct("id", "tk", "line_no", "sid").alias("place"), _codes(F.col("line")).alias("codes"))
+    sets = stage(sets.dropDuplicates(["sid"]), "line-sets")
+    x, y = (sets.select(F.col("sid").alias(c), F.col("place").alias(f"place_{c}"), F.col("codes").alias(f"codes_{c}")) for c in ("a", "b"))
     shared = F.size(F.array_intersect("codes_a", "codes_b"))
     similar = pairs.join(x, "a").join(y, "b").filter(100 * shared >= percent * (F.size("codes_a") + F.size("codes_b") - shared))
-    return similar.select(F.greatest("place_a", "place_b").getField("k1").alias("k1")).distinct()
+    return similar.select(F.greatest("place_a", "place_b").getField("sid").alias("sid")).distinct()
 
 
-def _repeating_sets(docs: DataFrame, firsts: DataFrame, levels: list[list[int]], percent: int, id_column: str, text_column: str) -> DataFrame:
-    """k1 of the sets that are similar to one whose first line is earlier.
+def _repeating_sets(docs: DataFrame, lines: DataFrame, firsts: DataFrame, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """sid of the sets that are similar to one whose first line is earlier.
 
-    One earlier match is enough. So where many sets share a prefix word they are compared with the
-    earliest of them first, which takes as many pairs as there are sets. In a family of near copies that
-    settles nearly all; then every two sets that share a prefix word are compared unless both are settled.
+    One earlier match is enough. So where many sets share one of their rarest words they are compared with
+    the earliest of them first, which takes no more pairs than there are such words. In a family of near
+    copies that settles nearly all; then every two sets that share a prefix word are compared unless both
+    are settled. The crowded words and their earliest sets are few enough to be broadcast.
     """
-    firsts = firsts.filter("first.prefix IS NOT NULL")
-    which = ["k1", F.col("first.n").alias("n"), F.col("first.bits0").alias("bits0"), F.col("first.bits1").alias("bits1")]
-    word = F.posexplode("first.prefix").alias("at", "code")
-    crowded = stage(firsts.select(F.explode("first.prefix").alias("code")).groupBy("code").agg(F.count("*").alias("m")).filter(F.col("m") >= _CROWDED), "crowded-words")
-    place = F.struct("first.id", "first.tk", "first.line_no", "k1").alias("place")
-    words = firsts.select(*which, place, word).join(_small(crowded.select("code")), "code")
-    earliest = words.groupBy("code").agg(F.min(F.struct("place", "n", "bits0", "bits1", "at")).alias("r")).select("code", "r.*")
-    pairs = words.alias("x").join(earliest.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.place") > F.col("y.place")) & _may_match(percent))
-    pairs = pairs.select(F.col("x.k1").alias("a"), F.col("y.place.k1").alias("b"))
-    settled = stage(_later_of(docs, pairs, firsts, levels, percent, id_column, text_column), "settled-lines")
-
-    marked = firsts.join(_small(settled.withColumn("settled", F.lit(1))), "k1", "left").select(*which, "settled", word)
-    # one number for the small ones: what is shuffled of a word is this, its code, its set's key and bits
-    narrow = marked.select("k1", "bits0", "bits1", "code", (F.shiftleft(F.col("n").cast("bigint"), 32) + 2 * F.col("at").cast("bigint") + F.coalesce("settled", F.lit(0))).alias("packed"))
+    firsts = firsts.filter("prefix IS NOT NULL")
+    rarest = F.slice("prefix", 1, _RAREST)
+    crowd = max(_CROWDED, _RAREST * lines.count() // _BROADCAST_LINES)  # so that crowded words are at most as many as are broadcast
+    crowded = stage(firsts.select(F.explode(rarest).alias("code")).groupBy("code").agg(F.count("*").alias("m")).filter(F.col("m") >= crowd).select("code"), "crowded-words")
+    words = firsts.select("sid", "id", "tk", "line_no", "n", "bits0", "bits1", F.posexplode(rarest).alias("at", "code"))
+    place = F.struct("id", "tk", "line_no", "sid", "n", "bits0", "bits1", "at")
+    earliest = words.join(F.broadcast(crowded), "code").groupBy("code").agg(F.min(place).alias("r")).select("code", "r.*")
+    earliest = F.broadcast(stage(earliest, "crowded-firsts"))
+    pairs = words.alias("x").join(earliest.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.sid") != F.col("y.sid")) & _may_match(percent))
+    pairs = pairs.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+    settled = stage(_later_of(docs, pairs, lines, percent, id_column, text_column), "settled-lines")
+
+    marked = firsts.join(_small(settled.withColumn("settled", F.lit(1))), "sid", "left").select("sid", "n", "bits0", "bits1", "settled", F.posexplode("prefix").alias("at", "code"))
+    # one number for the small ones: what is shuffled of a word is this, its code, its set's number and bits
+    narrow = marked.select("code", (F.shiftleft(F.col("n").cast("bigint"), 32) + 2 * F.col("at").cast("bigint") + F.coalesce("settled", F.lit(0))).alias("packed"), "sid", "bits0", "bits1")
 
     x, y = F.col("x.packed"), F.col("y.packed")
     open_ = x.bitwiseAND(y).bitwiseAND(F.lit(1)) == 0
     sizes, at = [F.shiftright(v, 32) for v in (x, y)], tuple(F.shiftright(v.bitwiseAND(F.lit(0xFFFFFFFF)), 1) for v in (x, y))
     met = narrow.alias("x").join(
-        narrow.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.k1") < F.col("y.k1")) & open_ & _may_match(percent, *sizes, at)
+        narrow.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.sid") < F.col("y.sid")) & open_ & _may_match(percent, *sizes, at)
     )
-    others = _later_of(docs, met.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")), firsts, levels, percent, id_column, text_column)
+    others = _later_of(docs, met.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")), lines, percent, id_column, text_column)
     return settled.unionByName(others).distinct()
 
 
@@ -183,17 +206,21 @@ def _repeated(docs: DataFrame, percent: int, least_words: int, id_column: str, t
     """(id, tk, line_no) of the lines to remove."""
     levels = _rarity_levels(docs, text_column)
     lines = _described(docs, levels, percent, id_column, text_column).filter(F.col("n") >= least_words)
-    firsts = stage(lines.groupBy("k1", "k2").agg(
-        F.min(F.struct("id", "tk", "line_no", "n", "bits0", "bits1", "prefix")).alias("first"), F.count("*").alias("copies")
-    ), "line-firsts")
-    later = _repeating_sets(docs, firsts, levels, percent, id_column, text_column).withColumn("later", F.lit(True))
+    # only sets of several lines are gathered: a line without an equal one is its set's first
+    several = lines.groupBy("k1", "k2").agg(F.min(F.struct("id", "tk", "line_no", "sid")).alias("first"), F.count("*").alias("copies"))
+    several = stage(several.filter("copies > 1").select("k1", "k2", "first"), "line-firsts")
+    few = several.count() <= _BROADCAST_LINES
+    several = F.broadcast(several) if few else several
+    firsts = lines.join(several.select("k1", "k2", F.col("first.sid").alias("first_sid")), ["k1", "k2"], "left").filter("first_sid IS NULL OR first_sid = sid")
+    firsts = firsts.select("sid", "id", "tk", "line_no", "n", "bits0", "bits1", "prefix")
+    later = _repeating_sets(docs, lines, firsts if few else stage(firsts, "first-lines"), percent, id_column, text_column)
+    later = _small(stage(later, "later-lines").select(F.col("sid").alias("first_sid"), F.lit(True).alias("later")))
 
     # a set goes as a whole when an earlier one is similar, and all but its first line otherwise
-    at = F.struct("first.id", "first.tk", "first.line_no")
-    doomed = firsts.join(later, "k1", "left").filter("later OR copies > 1").select("k1", "k2", at.alias("first"), "later")
-    return lines.join(doomed, ["k1", "k2"]).filter(
-        F.col("later").isNotNull() | (F.struct("id", "tk", "line_no") > F.col("first"))
-    ).select("id", "tk", "line_no")
+    placed = lines.select("sid", "id", "tk", "line_no", "k1", "k2").join(several, ["k1", "k2"], "left")
+    placed = placed.withColumn("first_sid", F.coalesce("first.sid", "sid")).join(later, "first_sid", "left")
+    behind = F.col("first").isNotNull() & (F.struct("id", "tk", "line_no") > F.struct("first.id", "first.tk", "first.line_no"))
+    return placed.filter(F.col("later").isNotNull() | behind).select("id", "tk", "line_no")
 
 
 def _removed(docs: DataFrame, percent: int, least_words: int, id_column: str, text_column: str) -> DataFrame:
