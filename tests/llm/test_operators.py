@@ -143,6 +143,16 @@ def test_short_lines_are_removed(spark):
     assert dict(texts_of(line_dedup.remove_repeated_lines(docs))) == kept
 
 
+def test_only_repeated_sets_are_gathered(spark, monkeypatch):
+    texts = [f"own{i} words{i} stand{i} on{i} this{i} line{i}\nthe same plain line of every text" for i in range(30)]
+    texts += ["own3 words3 stand3 on3 this3 line3 too", "THE  same plain line\tof every text"]
+    tables, stage = {}, line_dedup.stage
+    monkeypatch.setattr(line_dedup, "stage", lambda df, name: tables.setdefault(name, stage(df, name)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {tuple(r) for r in line_dedup.repeated_lines(docs).collect()} == _plain_lines(texts)
+    assert tables["line-firsts"].count() == 1 and tables["lines"].count() == 62
+
+
 def test_lines_of_texts_that_share_an_id_or_have_none(spark):
     seven = "seven plain words stand on this line"
     rows = [
