@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PRIVATE, let, stage
+from .common import PRIVATE, stage
 
 PERCENT = 80
-RARITY_SHARE = 65_536  # words above this share of all words get a rarity level of their own
 _LEVEL_BITS = 4
-_WORD_GROUPS = 1 << 17  # words are counted by so many groups of their codes
+_WORD_GROUPS = 1 << 18  # words are counted by so many groups of their codes
+_ALL_RARE = 1 << 21  # up to so many words in all, the rarest level is of words that occur once
 _CODE = 0x7FFFFFFF  # the part of a word's code that prefixes hold: words that share it only make more pairs to compare
 _CROWDED = 64  # sets that share one of their rarest words: from here on the earliest of them is compared with the others first
 _RAREST = 4  # words by which that is done: nearly all sets of a family of near copies share one of them
+_SIZES = 64  # classes of sizes, each up to twice the one before
+_LONG = 6  # from this class on (64 words) sets are told apart by 128 parity bits instead of 64
 _BROADCAST_LINES = 1_000_000  # some 60 MB
 _NO_ID = -(2**63)
 _ID, _TK, _REMOVED = PRIVATE + "id", PRIVATE + "tk", PRIVATE + "removed"
@@ -24,18 +26,18 @@ def _key(id_column: str, text_column: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID)), F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
 
 
-def _words(text: Column) -> Column:
-    """Lower-case words of a text, found by plain searches for ASCII white space, with empty strings between them."""
-    for space in "\t\n\x0b\f\r":
+def _plain(text: Column) -> Column:
+    """A text (null: empty) in lower case, with spaces for the ASCII white space that is not the end of a line."""
+    text = F.coalesce(text, F.lit(""))
+    for space in "\t\x0b\f\r":
         text = F.replace(text, F.lit(space), F.lit(" "))
-    return F.split(F.lower(text), " ", -1)
+    return F.lower(text)
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, tk, line_no, line) of all texts."""
+    """(id, tk, line_no, line) of all texts, the lines in plain form."""
     id_, tk = _key(id_column, text_column)
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    return docs.select(id_.alias("id"), tk.alias("tk"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
+    return docs.select(id_.alias("id"), tk.alias("tk"), F.posexplode(F.split(_plain(F.col(text_column)), "\n", -1)).alias("line_no", "line"))
 
 
 def _code(word: Column) -> Column:
@@ -43,62 +45,48 @@ def _code(word: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(word), _LEVEL_BITS + 1)
 
 
-def _rarity_levels(docs: DataFrame, text_column: str) -> list[list[int]]:
-    """Groups of the frequent words, most frequent level first; counted over all texts.
+def _levels(docs: DataFrame, text_column: str) -> Column:
+    """How frequent each group of words is, counted over all texts: a scalar, 2 MB, of a level for each group.
 
-    A word's group is the last bits of its code. A level spans a factor of four in frequency. At most
-    RARITY_SHARE groups can have their share.
+    A word's group is the last bits of its code. A level is a factor of two in frequency, and stands where codes have no bits.
     """
-    words = docs.select(F.explode(_words(F.coalesce(F.col(text_column), F.lit("")))).alias("w"))
+    words = docs.select(F.explode(F.split(F.replace(_plain(F.col(text_column)), F.lit("\n"), F.lit(" ")), " ", -1)).alias("w"))
     group = _code(F.col("w")).bitwiseAND(F.lit(_WORD_GROUPS - 1))
-    counts = stage(words.groupBy(group.alias("g")).agg(F.count("*").alias("n")), "word-counts")
+    counts = stage(words.groupBy(group.alias("id")).agg(F.count("*").alias("n")), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    level = F.floor(F.log2(F.col("n") * RARITY_SHARE / F.lit(max(1, total))) / 2).cast("int")
-    frequent = counts.filter(F.col("n") * RARITY_SHARE >= total).select("g", level.alias("level")).collect()  # <= RARITY_SHARE rows
-    levels: dict[int, list[int]] = {}
-    for g, at in frequent:
-        levels.setdefault(at, []).append(g)
-    return [levels[at] for at in sorted(levels, reverse=True)]
+    level = F.floor(F.log2(F.col("n") * (_ALL_RARE / max(total, _ALL_RARE)))).cast("bigint")
+    level = F.shiftleft(F.greatest(F.lit(0), F.least(level, F.lit((1 << _LEVEL_BITS) - 1))).cast("bigint"), 63 - _LEVEL_BITS)
+    every = docs.sparkSession.range(_WORD_GROUPS).join(counts, "id", "left").select(F.struct("id", F.coalesce(level, F.lit(0).cast("bigint")).alias("level")).alias("entry"))
+    return every.agg(F.sort_array(F.collect_list("entry")).getField("level")).scalar()
 
 
-def _codes(line: Column) -> Column:
-    """The distinct words of a line as sorted codes."""
-    return F.array_remove(F.array_distinct(F.sort_array(F.transform(_words(line), _code))), _code(F.lit("")))
+def _codes(line: Column, levels: Column | None = None) -> Column:
+    """The distinct words of a plain line as sorted codes; with ``levels`` these come first, so the rarest words do."""
+    codes = F.transform(F.split(line, " ", -1), _code)
+    if levels is None:
+        return F.array_distinct(F.sort_array(F.array_remove(codes, _code(F.lit("")))))
+    # never null, and Spark sees that, or it would sort objects
+    level = lambda c: F.coalesce(F.get(levels, c.bitwiseAND(F.lit(_WORD_GROUPS - 1)).cast("int")), F.lit(0).cast("bigint"))
+    codes = F.filter(codes, lambda c: c != _code(F.lit("")))
+    return F.array_distinct(F.sort_array(F.transform(codes, lambda c: level(c).bitwiseOR(c))))
 
 
-def _rarest(codes: Column, count: Column, levels: list[list[int]]) -> Column:
-    """The ``count`` rarest of the sorted codes, rarest first, by one order for all lines: level, then code."""
-    group = lambda c: c.bitwiseAND(F.lit(_WORD_GROUPS - 1))
-
-    def ranked(c: Column) -> Column:
-        rank = F.lit(0)
-        for i, some in reversed(list(enumerate(levels))):
-            rank = F.when(group(c).isin(some), F.lit(len(levels) - i)).otherwise(rank)
-        return F.shiftleft(rank.cast("bigint"), 63 - _LEVEL_BITS).bitwiseOR(c)
-
-    def rare(some: Column) -> Column:
-        return F.filter(some, lambda c: ~group(c).isin([g for level in levels for g in level]))
-
-    def enough(some: Column) -> Column:
-        return let(rare(some), lambda r: F.when(F.size(r) >= count, F.slice(r, F.lit(1), count)))
-
-    # most lines have enough codes below all levels, and among their first ones
-    return F.coalesce(enough(F.slice(codes, F.lit(1), 3 * count)), F.slice(F.sort_array(F.transform(codes, ranked)), F.lit(1), count))
-
-
-def _described(docs: DataFrame, levels: list[list[int]], percent: int, id_column: str, text_column: str) -> DataFrame:
+def _described(docs: DataFrame, levels: Column, percent: int, id_column: str, text_column: str) -> DataFrame:
     """All lines with a word, written once: (sid, id, tk, line_no, n, k1, k2, bits0, bits1, prefix).
 
     sid numbers the rows, n is the size of a line's set, (k1, k2) a 128-bit key of it. Two sets at the limit
     share a word among their rarest n - ceil(limit * n) + 1, the prefix. Sets of up to three words or so are
     similar to equal ones only and have no prefix.
     """
+    # the scalar has a column of its own as it may not stand in a lambda; Spark puts it there, so rows do not hold it
     # numbered before those without a word go, or Spark would make the codes once more for that filter
-    coded = _lines(docs, id_column, text_column).select(F.monotonically_increasing_id().alias("sid"), "id", "tk", "line_no", _codes(F.col("line")).alias("codes"))
+    coded = _lines(docs, id_column, text_column).withColumn("levels", levels).select(
+        F.monotonically_increasing_id().alias("sid"), "id", "tk", "line_no", _codes(F.col("line"), F.col("levels")).alias("codes")
+    )
     n = F.size("codes")
     count = n - F.ceil(n * percent / 100).cast("int") + 1
     joins = 100 * n >= percent * (n + 1)
-    prefix = F.transform(_rarest(F.col("codes"), count, levels), lambda c: c.bitwiseAND(F.lit(_CODE)).cast("int"))
+    prefix = F.transform(F.slice("codes", F.lit(1), count), lambda c: c.bitwiseAND(F.lit(_CODE)).cast("int"))
     return stage(coded.filter(n > 0).select(
         "sid", "id", "tk", "line_no", n.alias("n"), F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), F.col("codes")).alias("k2"),
         *[F.when(joins, _parity(F.col("codes"), i)).alias(f"bits{i}") for i in range(2)], F.when(joins, prefix).alias("prefix"),
@@ -107,16 +95,14 @@ def _described(docs: DataFrame, levels: list[list[int]], percent: int, id_column
 
 def _parity(codes: Column, part: int) -> Column:
     """64 bits, each the parity of the codes that fall on it: sets that differ in d words differ in d bits at most."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(c, 6 * part).bitwiseAND(F.lit(63)).cast("int"))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))
     mine = F.filter(codes, lambda c: F.shiftright(c, 12).bitwiseAND(F.lit(1)) == part)
     return F.aggregate(mine, F.lit(0).cast("bigint"), lambda total, c: total.bitwiseXOR(bit(c)))
 
 
-def _may_match(percent: int, n: Column | None = None, m: Column | None = None, at: tuple[Column, Column] | None = None) -> Column:
-    """Whether prefix words x and y may belong to similar sets: by length, by the words left behind the
-    shared one, and by the parity bits in which the sets differ."""
-    n, m = (F.col("x.n"), F.col("y.n")) if n is None else (n, m)
-    at_x, at_y = at or (F.col("x.at"), F.col("y.at"))
+def _may_match(percent: int, n: Column, m: Column, at_x: Column, at_y: Column) -> Column:
+    """Whether prefix words x and y may belong to similar sets of n and m words: by length, by the words left
+    behind the shared one, and by the parity bits in which the sets differ."""
     both, left = n + m, F.least(n - at_x, m - at_y)
     differ = sum((F.bit_count(F.col(f"x.bits{i}").bitwiseXOR(F.col(f"y.bits{i}"))) for i in range(2)), F.lit(0))
     return (
@@ -126,25 +112,66 @@ def _may_match(percent: int, n: Column | None = None, m: Column | None = None, a
     )
 
 
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log2(n)).cast("int")
+
+
+def _keyed(words: DataFrame, size: Column) -> DataFrame:
+    """What is shuffled of a prefix word: (key, packed, sid, id, bits0, bits1).
+
+    The key is its code with a class of sizes. One number holds the small ones: the set's size, the word's place
+    and whether the set is settled. Short sets are told apart by the parity of all their words.
+    """
+    key = F.shiftleft(F.col("code").cast("bigint"), _SIZES.bit_length() - 1).bitwiseOR(size.cast("bigint"))
+    packed = F.shiftleft(F.col("n").cast("bigint"), 32) + 2 * F.col("at").cast("bigint") + F.coalesce("settled", F.lit(0))
+    bits = [F.when(size >= _LONG, F.col("bits0")).otherwise(F.col("bits0").bitwiseXOR(F.col("bits1"))), F.when(size >= _LONG, F.col("bits1")).otherwise(F.lit(0).cast("bigint"))]
+    return words.select(key.alias("key"), packed.alias("packed"), "sid", "id", *[b.alias(f"bits{i}") for i, b in enumerate(bits)])
+
+
+def _met(marked: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets of which the later is not settled, that share a prefix word and may be similar.
+
+    The smaller set of a pair shares at least 2 * limit / (1 + limit) of its words, so its prefix is about half as
+    long; it takes part in the classes of all sizes that it can match, the larger one in its own.
+    """
+    columns = ["sid", "id", "n", "bits0", "bits1", "settled"]
+    larger = _keyed(marked.select(*columns, F.posexplode("prefix").alias("at", "code")), _size_class(F.col("n")))
+    fewer = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent) - F.lit(1e-9)).cast("int") + 1
+    largest = F.floor(F.col("n") * 100 / percent + F.lit(1e-9))
+    sizes = F.sequence(_size_class(F.col("n")), _size_class(largest))
+    smaller = marked.select(*columns, sizes.alias("sizes"), F.posexplode(F.slice("prefix", F.lit(1), fewer)).alias("at", "code"))
+    smaller = _keyed(smaller.select("*", F.explode("sizes").alias("size")), F.col("size"))
+
+    x, y = F.col("x.packed"), F.col("y.packed")
+    n, m = (F.shiftright(v, 32) for v in (x, y))
+    at = [F.shiftright(v.bitwiseAND(F.lit(0xFFFFFFFF)), 1) for v in (x, y)]
+    settled = [v.bitwiseAND(F.lit(1)) == 1 for v in (x, y)]
+    once = (n < m) | ((n == m) & (F.col("x.sid") < F.col("y.sid")))
+    # of sets of one id, the later one is told from the other when they are compared
+    open_ = ~(settled[0] & settled[1]) & ((F.col("x.id") <= F.col("y.id")) | ~settled[0]) & ((F.col("x.id") >= F.col("y.id")) | ~settled[1])
+    met = smaller.alias("x").join(larger.alias("y"), (F.col("x.key") == F.col("y.key")) & once & open_ & _may_match(percent, n, m, *at))
+    return met.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+
+
 def _small(rows: DataFrame) -> DataFrame:
     """``rows``, broadcast if they are few: the plan only, beyond that the other side is shuffled."""
     return F.broadcast(rows) if rows.count() <= _BROADCAST_LINES else rows
 
 
-def _later_of(docs: DataFrame, pairs: DataFrame, lines: DataFrame, percent: int, id_column: str, text_column: str) -> DataFrame:
+def _later_of(docs: DataFrame, pairs: DataFrame, lines: DataFrame, percent: int, id_column: str, text_column: str, name: str) -> DataFrame:
     """sid of the later set of each pair (a, b) of similar ones; verified on all words.
 
-    Words come from each set's first line, of documents that have such a line.
+    Words come from each set's first line, of documents that have such a line. ``name`` begins the staged tables' names.
     """
-    pairs = stage(pairs.distinct(), "line-pairs")
-    ends = _small(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
-    ends = _small(stage(lines.select("sid", "id", "tk", "line_no").join(ends, "sid", "left_semi"), "line-ends"))
+    pairs = stage(pairs.distinct(), f"{name}-pairs")
+    ends = _small(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct())
+    ends = _small(stage(lines.select("sid", "id", "tk", "line_no").join(ends, "sid", "left_semi"), f"{name}-ends"))
     id_, tk = _key(id_column, text_column)
     holders = ends.select(F.col("id").alias(_ID), F.col("tk").alias(_TK))
     some = docs.withColumns({_ID: id_, _TK: tk}).join(holders, [_ID, _TK], "left_semi")
     found = _lines(some, id_column, text_column).join(ends, ["id", "tk", "line_no"])
     sets = found.select("sid", F.struct("id", "tk", "line_no", "sid").alias("place"), _codes(F.col("line")).alias("codes"))
-    sets = stage(sets.dropDuplicates(["sid"]), "line-sets")
+    sets = stage(sets.dropDuplicates(["sid"]), f"{name}-sets")
     x, y = (sets.select(F.col("sid").alias(c), F.col("place").alias(f"place_{c}"), F.col("codes").alias(f"codes_{c}")) for c in ("a", "b"))
     shared = F.size(F.array_intersect("codes_a", "codes_b"))
     similar = pairs.join(x, "a").join(y, "b").filter(100 * shared >= percent * (F.size("codes_a") + F.size("codes_b") - shared))
@@ -156,8 +183,8 @@ def _repeating_sets(docs: DataFrame, lines: DataFrame, firsts: DataFrame, percen
 
     One earlier match is enough. So where many sets share one of their rarest words they are compared with
     the earliest of them first, which takes no more pairs than there are such words. In a family of near
-    copies that settles nearly all; then every two sets that share a prefix word are compared unless both
-    are settled. The crowded words and their earliest sets are few enough to be broadcast.
+    copies that settles nearly all; then every two sets that share a prefix word are compared unless the
+    later one is settled. The crowded words and their earliest sets are few enough to be broadcast.
     """
     firsts = firsts.filter("prefix IS NOT NULL")
     rarest = F.slice("prefix", 1, _RAREST)
@@ -167,21 +194,13 @@ def _repeating_sets(docs: DataFrame, lines: DataFrame, firsts: DataFrame, percen
     place = F.struct("id", "tk", "line_no", "sid", "n", "bits0", "bits1", "at")
     earliest = words.join(F.broadcast(crowded), "code").groupBy("code").agg(F.min(place).alias("r")).select("code", "r.*")
     earliest = F.broadcast(stage(earliest, "crowded-firsts"))
-    pairs = words.alias("x").join(earliest.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.sid") != F.col("y.sid")) & _may_match(percent))
+    near = (F.col("x.code") == F.col("y.code")) & (F.col("x.sid") != F.col("y.sid"))
+    pairs = words.alias("x").join(earliest.alias("y"), near & _may_match(percent, *(F.col(c) for c in ("x.n", "y.n", "x.at", "y.at"))))
     pairs = pairs.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-    settled = stage(_later_of(docs, pairs, lines, percent, id_column, text_column), "settled-lines")
-
-    marked = firsts.join(_small(settled.withColumn("settled", F.lit(1))), "sid", "left").select("sid", "n", "bits0", "bits1", "settled", F.posexplode("prefix").alias("at", "code"))
-    # one number for the small ones: what is shuffled of a word is this, its code, its set's number and bits
-    narrow = marked.select("code", (F.shiftleft(F.col("n").cast("bigint"), 32) + 2 * F.col("at").cast("bigint") + F.coalesce("settled", F.lit(0))).alias("packed"), "sid", "bits0", "bits1")
+    settled = stage(_later_of(docs, pairs, lines, percent, id_column, text_column, "crowded"), "settled-lines")
 
-    x, y = F.col("x.packed"), F.col("y.packed")
-    open_ = x.bitwiseAND(y).bitwiseAND(F.lit(1)) == 0
-    sizes, at = [F.shiftright(v, 32) for v in (x, y)], tuple(F.shiftright(v.bitwiseAND(F.lit(0xFFFFFFFF)), 1) for v in (x, y))
-    met = narrow.alias("x").join(
-        narrow.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("x.sid") < F.col("y.sid")) & open_ & _may_match(percent, *sizes, at)
-    )
-    others = _later_of(docs, met.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")), lines, percent, id_column, text_column)
+    marked = firsts.join(_small(settled.withColumn("settled", F.lit(1))), "sid", "left")
+    others = _later_of(docs, _met(marked, percent), lines, percent, id_column, text_column, "met")
     return settled.unionByName(others).distinct()
 
 
@@ -204,7 +223,7 @@ def repeated_lines(
 
 def _repeated(docs: DataFrame, percent: int, least_words: int, id_column: str, text_column: str) -> DataFrame:
     """(id, tk, line_no) of the lines to remove."""
-    levels = _rarity_levels(docs, text_column)
+    levels = _levels(docs, text_column)
     lines = _described(docs, levels, percent, id_column, text_column).filter(F.col("n") >= least_words)
     # only sets of several lines are gathered: a line without an equal one is its set's first
     several = lines.groupBy("k1", "k2").agg(F.min(F.struct("id", "tk", "line_no", "sid")).alias("first"), F.count("*").alias("copies"))

@@ -153,6 +153,23 @@ def test_only_repeated_sets_are_gathered(spark, monkeypatch):
     assert tables["line-firsts"].count() == 1 and tables["lines"].count() == 62
 
 
+def test_settled_lines_are_not_compared_again(spark, monkeypatch):
+    """Near copies that one comparison with the earliest of them settles make no further pairs."""
+    words = [f"word{k}" for k in range(20)]
+    texts = [" ".join(words), *(" ".join([*words[: k % 20], f"own{k}", *words[k % 20 + 1 :]]) for k in range(100))]
+    pairs, stage = [], line_dedup.stage
+
+    def staged(df, name):
+        table = stage(df, name)
+        pairs.extend([table.count()] if name.endswith("pairs") else [])
+        return table
+
+    monkeypatch.setattr(line_dedup, "stage", staged)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {tuple(r) for r in line_dedup.repeated_lines(docs).collect()} == _plain_lines(texts)
+    assert 100 <= pairs[0] <= 400 and pairs[1:] == [0]
+
+
 def test_lines_of_texts_that_share_an_id_or_have_none(spark):
     seven = "seven plain words stand on this line"
     rows = [
