@@ -19,32 +19,44 @@ LIST_ROWS, CELL_ROWS = 32, 8  # rows of a list aimed at, and the fewest sampled
 REPLICAS, BOUNDARY = 4, 1.004
 DEGREE, LEAST_EXPLORED = 16, 32
 BLOCK_BYTES, LEAST_BLOCKS = 4 << 20, 16  # postings lie in blocks of at most so many bytes of vectors
+_SAMPLE_FILES = 16
 QUERY_BYTES = 4 << 20  # of the queries compared with a block at once
 COMPARED_AT_ONCE = 1 << 21  # products that a task holds
 _RESULT = "query_id bigint, rank int, vec_id bigint, score double, compared bigint"
 
 
+def _away(x: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Squared distances of the rows from ``a``, without a copy of all rows."""
+    return np.concatenate([((x[at : at + 4_096] - a) ** 2).sum(1) for at in range(0, len(x), 4_096)])
+
+
 def _halve(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Two equal halves of the rows, split across the direction of two-means."""
     a, b = x[rng.choice(len(x), 2, replace=False)]
     for _ in range(8):
-        side = ((x - a) ** 2).sum(1) - ((x - b) ** 2).sum(1)
+        side = _away(x, a) - _away(x, b)
         near = side <= np.median(side)
         if near.all() or not near.any():
             break
         a, b = x[near].mean(0), x[~near].mean(0)
     half = np.zeros(len(x), bool)
-    half[np.argsort(((x - a) ** 2).sum(1) - ((x - b) ** 2).sum(1), kind="stable")[: len(x) // 2]] = True
+    half[np.argsort(_away(x, a) - _away(x, b), kind="stable")[: len(x) // 2]] = True
     return half
 
 
 def balanced_centroids(x: np.ndarray, lists: int, seed: int = 5) -> np.ndarray:
-    """Means of about ``lists`` cells of equal size, by halving again and again."""
+    """Means of about ``lists`` cells of equal size, by halving again and again; ``x`` is put in the order of the cells."""
     rng = np.random.default_rng(seed)
-    cells = [x]
-    while len(cells) < lists and min(map(len, cells)) >= 4:
-        cells = [c for cell in cells for half in [_halve(cell, rng)] for c in (cell[half], cell[~half])]
-    return np.array([c.mean(0) for c in cells])
+    ends = [0, len(x)]  # a cell is a run of rows
+    while len(ends) - 1 < lists and min(np.diff(ends)) >= 4:
+        middles = []
+        for at, to in zip(ends[:-1], ends[1:], strict=True):
+            cell = x[at:to]
+            half = _halve(cell, rng)
+            cell[:] = cell[np.argsort(~half, kind="stable")]
+            middles.append(at + int(half.sum()))
+        ends = sorted([*ends, *middles])
+    return np.array([x[at:to].mean(0) for at, to in zip(ends[:-1], ends[1:], strict=True)])
 
 
 def _rows(batch: pd.DataFrame) -> np.ndarray:
@@ -70,7 +82,12 @@ class CentroidGraph:
 
     def __init__(self, centroids: np.ndarray):
         self.centroids, n = centroids, len(centroids)
-        near = [np.argsort(_distances(centroids[at : at + 256], centroids), axis=1, kind="stable")[:, 1 : DEGREE + 1] for at in range(0, n, 256)]
+        step = max(1, min(256, COMPARED_AT_ONCE // n))
+
+        def nearest_of(some: np.ndarray) -> np.ndarray:
+            return np.argsort(_distances(some, centroids), axis=1, kind="stable")[:, 1 : DEGREE + 1].copy()  # a view would keep all n columns
+
+        near = [nearest_of(centroids[at : at + step]) for at in range(0, n, step)]
         around = np.arange(n)[:, None] + np.array([-1, 1])
         self.links = np.column_stack((np.concatenate(near), around % n))
         self.entries = np.unique(np.linspace(0, n - 1, int(np.ceil(np.sqrt(n)))).astype(np.int64))
@@ -143,10 +160,10 @@ def _ranked(who: np.ndarray, score: np.ndarray, ids: np.ndarray, kept: int) -> n
     return order[nth < kept]
 
 
-def _needed(placed: DataFrame, probes: pd.DataFrame, ratios: np.ndarray, top: int) -> list[float]:
+def _needed(placed: DataFrame, probes: np.ndarray, ratios: np.ndarray, top: int) -> list[float]:
     """For each of the ``top`` nearest others of each probe, the least ratio that opens a list it is on."""
-    q = _rows(probes)
-    own = {v: i for i, v in enumerate(probes["v"].map(bytes))}
+    q = probes
+    own = {v.tobytes(): i for i, v in enumerate(probes)}
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scores, least = np.empty((len(q), 0)), np.empty((len(q), 0))
@@ -169,6 +186,28 @@ def _needed(placed: DataFrame, probes: pd.DataFrame, ratios: np.ndarray, top: in
     return [r["ratio"] for r in found.withColumn("nth", nth).filter(F.col("nth") <= top).select("ratio").collect()]  # <= PROBES * top rows
 
 
+def _first_by_hash(rows: DataFrame, n: int, most: int) -> np.ndarray:
+    """The vectors of the ``most`` first of ``n`` rows (k1, k2, v) in the order of a hash of k1, then k2.
+
+    A sort with a limit would send the driver that many rows of every partition. Those below a bound on
+    the hash are about as many as are asked for; they are staged and fetched file by file.
+    """
+    hashed, share = rows.select(F.xxhash64("k1").alias("h"), "k2", "v"), (most + 8 * np.sqrt(most) + 64) / max(n, 1)
+    while True:
+        some = hashed if share >= 1 else hashed.filter(F.col("h") < int(share * 2**64) - 2**63)
+        some = stage(some.repartition(_SAMPLE_FILES), "sample")
+        found = some.count()
+        if found >= min(n, most) or share >= 1:
+            break
+        share *= 2
+    h, k2, v = np.empty(found, np.int64), np.empty(found, np.int64), None
+    for i, r in enumerate(some.toLocalIterator()):
+        x = np.frombuffer(r["v"], np.float64)
+        v = np.empty((found, len(x))) if v is None else v
+        h[i], k2[i], v[i] = r["h"], r["k2"], x
+    return np.zeros((0, 0)) if v is None else v[np.lexsort((k2, h))[:most]]
+
+
 def _to_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         yield pd.DataFrame({"id": rows["id"], "v": [np.asarray(v, np.float64).tobytes() for v in rows["v"]]})
@@ -213,10 +252,12 @@ def nearest(
     some = rows.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= top + 1)
     distinct = stage(some.groupBy("k1", "k2").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids")), "distinct")
     n, width = distinct.count(), 8 * common_size["size"]
-    sample = _rows(distinct.orderBy(F.xxhash64("k1"), "k2").limit(max(1, SAMPLE_BYTES // width)).select("v").toPandas())
+    sample = _first_by_hash(distinct, n, max(1, SAMPLE_BYTES // width))
     norms = distinct.mapInPandas(_largest_norm, "norm double").agg(F.max("norm")).first()[0]
     lists = max(1, min(n // LIST_ROWS, len(sample) // CELL_ROWS))
-    centroids = balanced_centroids(_lifted(sample, norms), lists) if lists > 1 else _lifted(sample, norms).mean(0)[None]
+    sample = _lifted(sample, norms)
+    centroids = balanced_centroids(sample, lists) if lists > 1 else sample.mean(0)[None]
+    del sample
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -238,11 +279,13 @@ def nearest(
         held[r["list"]] = r["count"]
     first, pieces = _blocks(held, max(1, BLOCK_BYTES // width))
 
-    probes = asked.orderBy(F.xxhash64("k1"), "k2").limit(PROBES).select("v").toPandas()
+    probes = _first_by_hash(asked, asked.count(), PROBES)
     ratio = 1.0
     if len(probes) and len(centroids) > 1:
-        away = _distances(_scaled(_rows(probes), norms), centroids)
-        needed = _needed(placed, probes, away / away.min(axis=1, keepdims=True), top)
+        step = max(1, COMPARED_AT_ONCE // len(centroids))
+        ratios = np.concatenate([_distances(_scaled(probes[at : at + step], norms), centroids) for at in range(0, len(probes), step)])
+        ratios /= ratios.min(axis=1, keepdims=True)
+        needed = _needed(placed, probes, ratios, top)
         if needed:
             ratio = float(np.quantile(needed, recall, method="higher")) * (1 + 1e-9)  # distances are rounded in two ways
     graph = CentroidGraph(centroids)

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -337,6 +338,27 @@ def test_nearest_opens_lists_of_clustered_vectors(spark):
     assert _recall(spark, x, 100) >= 0.99
 
 
+def test_nearest_driver_holds_links_only():
+    """The graph of many centroids does not hold their distances, and halving copies no more than the sample."""
+    x = np.random.default_rng(4).normal(size=(3_000, 16))
+    tracemalloc.start()
+    graph = nearest.CentroidGraph(x)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 4 << 20  # all distances are 72 MB
+    near = np.argsort(nearest._distances(x[:256], x), axis=1, kind="stable")[:, 1 : nearest.DEGREE + 1]
+    assert (graph.links[:256, : nearest.DEGREE] == near).all()
+
+
+def test_nearest_sample_is_the_first_by_hash(spark):
+    x = np.random.default_rng(6).normal(size=(3_000, 4))
+    rows = spark.createDataFrame([(i, -i, v.tobytes()) for i, v in enumerate(x)], "k1 bigint, k2 bigint, v binary").repartition(20)
+    rows = nearest.stage(rows, "test")
+    for most in (1, 50, 2_990, 5_000):
+        want = [r["v"] for r in rows.orderBy(F.xxhash64("k1"), "k2").limit(most).collect()]
+        assert [v.tobytes() for v in nearest._first_by_hash(rows, len(x), most)] == [bytes(v) for v in want]
+
+
 def test_nearest_ties_go_to_smaller_ids(spark):
     x = np.concatenate((np.eye(64), 2 * np.eye(64), 3 * np.eye(64)))
     got = nearest.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>"), every=100)
